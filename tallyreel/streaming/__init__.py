@@ -1,0 +1,5 @@
+"""Deliberately empty: every load here is a full refresh of tables at rest.
+
+Sessions carry the client's own session id, so nothing needs a gap timeout, a watermark or
+state kept between batches. The package stays as the place where such work would go.
+"""
