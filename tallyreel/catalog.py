@@ -11,8 +11,15 @@ from tallyreel.config import standard_config
 from tallyreel.functions import cleaning as C
 from tallyreel.functions import timestamps as TS
 from tallyreel.functions.numeric import round_half_away
+from tallyreel.operators.classify import classify_threshold
+from tallyreel.operators.collapse import collapse_agreeing
+from tallyreel.operators.dedupe import dedupe_first
+from tallyreel.operators.history import scd2_windows
+from tallyreel.operators.intervals import merge_intervals
 from tallyreel.operators.lookups import keep_known
 from tallyreel.operators.rates import temporal_rate_join
+from tallyreel.operators.sessions import sessionize
+from tallyreel.operators.spine import spine_rollup
 from tallyreel.plans import marts_product
 from tallyreel.plans.build import Models
 from tallyreel.plans.descriptions import COLUMNS, TABLES
@@ -105,7 +112,7 @@ def _(m, sf_dir):
 
 
 def _written_assets(m: Models, table: str) -> DataFrame:
-    return write_mart(m.dim_asset, DATA_NAMESPACE, table, f"{shared_folder(_spark(m))}/{DATA_NAMESPACE}/{table}")
+    return write_mart(m.dim_asset, DATA_NAMESPACE, table, f"{shared_folder(_spark(m))}/{DATA_NAMESPACE}")
 
 
 PLANS["write_mart"] = lambda m, _: _written_assets(m, "dim_asset")
@@ -213,7 +220,64 @@ PLANS["user_measures"] = lambda m, _: _stable_average(
     )
 )
 
-# ------------------------------------------------------------------ joins as operators of their own
+# ------------------------------------------------------------------ operators on their own
+
+PLANS["dedupe_first"] = lambda m, _: dedupe_first(
+    _events(m), ["event_id"], ["session_id", "event_ts", "position_seconds"]
+)
+PLANS["collapse_agreeing"] = lambda m, _: collapse_agreeing(
+    _catalog(m), "sport", ["home_school", "away_school", "scheduled_start_ts"]
+)
+PLANS["scd2_windows"] = lambda m, _: scd2_windows(
+    m.stg_subscriptions.select("subscription_change_key", "subscription_id", "status", "effective_at_utc"),
+    "subscription_id",
+    "effective_at_utc",
+    "subscription_change_key",
+    m.config.open_window_sentinel,
+    m.raw.hot("subscriptions", "subscription_id", "bigint"),
+)
+
+
+@plan("merge_intervals")
+def _(m, sf_dir):
+    """Continuous subscription of any kind per user: every window merges, trials included."""
+    return merge_intervals(
+        m.dim_subscription_history.filter(~F.col("status").isin("canceled", "expired")),
+        "user_id",
+        "valid_from",
+        "valid_to",
+        ["subscription_change_key"],
+        "stretch",
+        _hot_user_ids(m),
+        windows=F.count(F.lit(1)),
+    )
+
+
+PLANS["sessionize"] = lambda m, _: sessionize(
+    m.stg_playback_events,
+    "session_id",
+    "event_at_utc",
+    "event_type",
+    "position_seconds",
+    "is_anonymous_view",
+    ["user_id", "asset_id", "device_type", "app_version", "bitrate_kbps"],
+)
+PLANS["classify_threshold"] = lambda m, _: m.fct_session.select(
+    "session_id",
+    classify_threshold(
+        F.col("buffers_per_10min"), [(0.5, "smooth"), (1.5, "uneven")], "rough"
+    ).alias("playback_quality"),
+)
+
+
+@plan("spine_rollup")
+def _(m, sf_dir):
+    """Every account with its number of subscription changes."""
+    changes = m.stg_subscriptions.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("changes"), F.max("effective_at_utc").alias("last_change_at")
+    )
+    return spine_rollup(m.stg_users.select("user_id"), changes, "user_id", {"changes": 0})
+
 
 PLANS["temporal_rate_join"] = lambda m, _: temporal_rate_join(
     m.stg_subscriptions.select(

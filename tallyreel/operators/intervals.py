@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyreel.operators.split_window import HotGroups, PriorMax, RunningSum, ordered_columns
@@ -33,6 +33,26 @@ def label_islands(
     return labelled.drop("_furthest", "_opens")
 
 
+def merge_intervals(
+    df: DataFrame,
+    key: str,
+    start: str,
+    end: str,
+    tie_break: Sequence[str],
+    label: str,
+    hot: HotGroups | None = None,
+    **measures: Column,
+) -> DataFrame:
+    """One row per merged interval: key, running number, first start, last end, and measures.
+
+    Rows of a key already lie together after the windows, so this adds no shuffle.
+    """
+    labelled = label_islands(df, key, start, end, tie_break, label, hot)
+    return labelled.groupBy(key, label).agg(
+        F.min(start).alias(start), F.max(end).alias(end), *[c.alias(n) for n, c in measures.items()]
+    )
+
+
 def overlapping_after_merge(
     df: DataFrame, key: str, start: str, end: str, tie_break: Sequence[str], hot: HotGroups | None = None
 ) -> DataFrame:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKETS = 200
@@ -15,8 +16,8 @@ def exact_quantiles(df: DataFrame, group: str, value: str, fractions: Sequence[f
 
     Values are first combined to (group, value, count). Sketched edges cut each group's distinct
     values into buckets; since any monotone cut is right, the sketch affects balance only, never
-    the result. Bucket totals give each bucket its start rank, and only inside a bucket are values
-    sorted, so a task sees about 1/200 of a group's distinct values.
+    the result. Bucket totals give each bucket its start rank. Only the few buckets that hold a
+    wanted rank are sorted, each with about 1/200 of its group's distinct values.
     """
     counts = (
         df.filter(F.col(value).isNotNull())
@@ -24,42 +25,45 @@ def exact_quantiles(df: DataFrame, group: str, value: str, fractions: Sequence[f
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     cuts = [i / BUCKETS for i in range(1, BUCKETS)]
-    edges = counts.groupBy(group).agg(F.percentile_approx("_v", cuts, 10_000).alias("_edges"))
+    edges = counts.groupBy(F.col(group).alias("_eg")).agg(
+        F.percentile_approx("_v", [i / BUCKETS for i in range(1, BUCKETS)], 10_000).alias("_edges")
+    )
     bucket = F.size(F.filter(F.col("_edges"), lambda edge: edge < F.col("_v")))
-    placed = counts.join(edges, group).select(group, "_v", "_n", bucket.alias("_b"))
+    placed = counts.join(edges, F.col(group).eqNullSafe(F.col("_eg"))).select(
+        group, "_v", "_n", bucket.alias("_b")
+    )
+
+    def ranks(q: float) -> tuple[Column, Column]:
+        position = (F.col("_total") - 1) * F.lit(float(q))
+        return F.floor(position), F.ceil(position)
+
+    def covers(start: Column, rows: Column, rank: Column) -> Column:
+        return (start <= rank) & (rank < start + rows)
 
-    per_group = Window.partitionBy(group)
+    per_group = Window.partitionBy("_sg")
+    start = F.sum("_bn").over(per_group.orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1))
+    wanted = reduce(
+        lambda a, b: a | b,
+        [covers(F.col("_start"), F.col("_bn"), rank) for q in fractions for rank in ranks(q)],
+    )
     starts = (
-        placed.groupBy(group, "_b")
+        placed.groupBy(F.col(group).alias("_sg"), F.col("_b").alias("_sb"))
         .agg(F.sum("_n").alias("_bn"))
-        .withColumn(
-            "_start",
-            F.coalesce(
-                F.sum("_bn").over(per_group.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)),
-                F.lit(0),
-            ),
-        )
-        .withColumn("_total", F.sum("_bn").over(per_group))
-        .select(group, "_b", "_start", "_total")
+        .withColumns({"_start": F.coalesce(start, F.lit(0)), "_total": F.sum("_bn").over(per_group)})
+        .filter(wanted)
+        .drop("_bn")
     )
     inside = Window.partitionBy(group, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
-        placed.withColumn("_upto", F.sum("_n").over(inside))
-        .join(starts, [group, "_b"])
-        .select(
-            group,
-            "_v",
-            "_total",
-            (F.col("_start") + F.col("_upto") - F.col("_n")).alias("_from"),
-            (F.col("_start") + F.col("_upto")).alias("_to"),
-        )
+        placed.join(starts, F.col(group).eqNullSafe(F.col("_sg")) & (F.col("_b") == F.col("_sb")))
+        .withColumn("_before", F.col("_start") + F.sum("_n").over(inside) - F.col("_n"))
+        .select(group, "_v", "_n", "_total", "_before")
     )
     aggregates = []
     for i, q in enumerate(fractions):
-        position = (F.col("_total") - 1) * F.lit(float(q))
-        for side, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
-            covers = (F.col("_from") <= rank) & (rank < F.col("_to"))
-            aggregates.append(F.max(F.when(covers, F.col("_v"))).alias(f"_{side}{i}"))
+        for side, rank in zip(("lo", "hi"), ranks(q), strict=True):
+            here = covers(F.col("_before"), F.col("_n"), rank)
+            aggregates.append(F.max(F.when(here, F.col("_v"))).alias(f"_{side}{i}"))
     found = ranked.groupBy(group).agg(F.max("_total").alias("_total"), *aggregates)
     rows = []
     for i, q in enumerate(fractions):

@@ -109,6 +109,36 @@ SELECT user_id, count(*) AS session_count, count(*) FILTER (is_engaged_view) AS
        count(DISTINCT sport) AS distinct_sports_watched
 FROM (SELECT *, completion_pct >= 0.30::double AS is_engaged_view FROM fct_session)
 WHERE user_id IS NOT NULL GROUP BY user_id"""
+BODIES["dedupe_first"] = """
+SELECT DISTINCT ON (event_id) * FROM raw_events ORDER BY event_id, session_id, event_ts, position_seconds"""
+BODIES["collapse_agreeing"] = """
+SELECT sport, max(home_school) AS home_school, max(away_school) AS away_school,
+       max(scheduled_start_ts) AS scheduled_start_ts, count(*) AS source_row_count,
+       count(*) > 1 AS has_ambiguous_identity
+FROM raw_catalog GROUP BY sport"""
+BODIES["scd2_windows"] = """
+SELECT subscription_change_key, subscription_id, status, effective_at_utc, effective_at_utc AS valid_from,
+       coalesce(following, timestamp '2999-12-31 23:59:59') AS valid_to, following IS NULL AS is_current_state
+FROM (SELECT *, lead(effective_at_utc) OVER (PARTITION BY subscription_id
+                                             ORDER BY effective_at_utc, subscription_change_key) AS following
+      FROM stg_subscriptions)"""
+BODIES["merge_intervals"] = """
+SELECT user_id, stretch, min(valid_from) AS valid_from, max(valid_to) AS valid_to, count(*) AS windows
+FROM (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY valid_from, valid_to, subscription_change_key
+                                 ROWS UNBOUNDED PRECEDING)::bigint AS stretch
+      FROM (SELECT *, if(valid_from <= max(valid_to) OVER (
+                             PARTITION BY user_id ORDER BY valid_from, valid_to, subscription_change_key
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0, 1) AS opens
+            FROM dim_subscription_history WHERE status NOT IN ('canceled', 'expired')))
+GROUP BY user_id, stretch"""
+BODIES["sessionize"] = "SELECT * FROM session_totals"
+BODIES["classify_threshold"] = """
+SELECT session_id, if(buffers_per_10min < 0.5::double, 'smooth',
+                      if(buffers_per_10min < 1.5::double, 'uneven', 'rough')) AS playback_quality
+FROM fct_session"""
+BODIES["spine_rollup"] = """
+SELECT u.user_id, count(s.subscription_id) AS changes, max(effective_at_utc) AS last_change_at
+FROM stg_users u LEFT JOIN stg_subscriptions s ON s.user_id = u.user_id GROUP BY u.user_id"""
 BODIES["temporal_rate_join"] = """
 SELECT subscription_change_key, s.currency, effective_at_utc::date AS on_date, rate_to_usd
 FROM stg_subscriptions s

@@ -10,7 +10,13 @@ from tallyreel.config import EngineConfig
 from tallyreel.plans import marts_data, marts_product, staging
 from tallyreel.plans.descriptions import COLUMNS, TABLES
 from tallyreel.sources.raw import RawTables
-from tallyreel.sources.sinks import DATA_NAMESPACE, PRODUCT_NAMESPACE, persist_docs, write_mart
+from tallyreel.sources.sinks import (
+    DATA_NAMESPACE,
+    PRODUCT_NAMESPACE,
+    STAGING_NAMESPACE,
+    persist_docs,
+    write_mart,
+)
 
 
 class Models:
@@ -79,18 +85,26 @@ PRODUCT_MARTS = ["fct_session_engagement", "fct_user_engagement"]
 def build(raw: RawTables, config: EngineConfig, path: str | None = None) -> Models:
     """Write every mart in dependency order; each later one reads the written ones.
 
-    The deduplicated events are not a mart, but sessions and the checks all read them, so they
-    are written as well: staging views of the small sources stay lazy.
+    The cleaned events are not a mart, but sessions, checks and the ordered profiles all read
+    them, so they are written too. Layouts serve the readers: events by session (unless some
+    session is too big for one bucket), sessions by day. Staging views of small sources stay lazy.
     """
     models = Models(raw, config)
+    big_sessions = raw.hot("playback_events", "session_id") is not None
+    layouts = {
+        "stg_playback_events": {} if big_sessions else {"bucket_by": "session_id"},
+        "fct_session": {"partition_by": "session_date"},
+    }
     for namespace, names in (
-        ("staging", ["stg_playback_events"]),
+        (STAGING_NAMESPACE, ["stg_playback_events"]),
         (DATA_NAMESPACE, DATA_MARTS),
         (PRODUCT_NAMESPACE, PRODUCT_MARTS),
     ):
+        folder = None if path is None else f"{path}/{namespace}"
         for name in names:
-            where = None if path is None else f"{path}/{namespace}/{name}"
-            written = write_mart(getattr(models, name), namespace, name, where)
+            written = write_mart(
+                getattr(models, name), namespace, name, folder, **layouts.get(name, {})
+            )
             persist_docs(written.sparkSession, f"{namespace}.{name}", TABLES[name], COLUMNS.get(name, {}))
-            setattr(models, name, written.sparkSession.table(f"{namespace}.{name}"))
+            setattr(models, name, written)
     return models

@@ -11,7 +11,7 @@ from tallyreel.functions.numeric import round_half_away
 from tallyreel.functions.timestamps import days_between
 from tallyreel.operators.collapse import collapse_agreeing
 from tallyreel.operators.history import scd2_windows
-from tallyreel.operators.intervals import label_islands
+from tallyreel.operators.intervals import merge_intervals
 from tallyreel.operators.lookups import flag_unknown, keep_known
 from tallyreel.operators.sessions import sessionize
 from tallyreel.operators.spine import spine_rollup
@@ -73,16 +73,18 @@ def fct_user_paid_spells(
     paid = history.filter(F.col("is_paid_plan") & F.col("is_active_state")).select(
         "user_id", "subscription_id", "valid_from", "valid_to", "subscription_change_key"
     )
-    labelled = label_islands(
-        paid, "user_id", "valid_from", "valid_to", ["subscription_change_key"], "spell_number", hot
-    )
+    spells = merge_intervals(
+        paid,
+        "user_id",
+        "valid_from",
+        "valid_to",
+        ["subscription_change_key"],
+        "spell_number",
+        hot,
+        subscriptions_in_spell=F.count(F.lit(1)),
+        distinct_subscriptions=F.count_distinct("subscription_id"),
+    ).withColumnsRenamed({"valid_from": "paid_from", "valid_to": "paid_to"})
     sentinel = F.to_timestamp_ntz(F.lit(config.open_window_sentinel))
-    spells = labelled.groupBy("user_id", "spell_number").agg(
-        F.min("valid_from").alias("paid_from"),
-        F.max("valid_to").alias("paid_to"),
-        F.count(F.lit(1)).alias("subscriptions_in_spell"),
-        F.count_distinct("subscription_id").alias("distinct_subscriptions"),
-    )
     return spells.select(
         surrogate_key([F.col("user_id"), F.col("spell_number")]).alias("paid_spell_key"),
         *spells.columns,

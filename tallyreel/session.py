@@ -15,10 +15,25 @@ SETTINGS = {
 }
 
 
+# Only settable before the session starts: Python call sites in error messages cost a round trip
+# to the JVM per expression.
+START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
+TASK_BYTES = 128 * 1024 * 1024
+
+
+def shuffle_partitions_for(shuffled_bytes: int, cores: int) -> int:
+    """Partitions so that one holds about 128 MB, and at least one per core.
+
+    100 TB through one shuffle asks for some 800,000; AQE then coalesces what turns out smaller.
+    """
+    return max(cores, -(-shuffled_bytes // TASK_BYTES))
+
+
 def get_session(app_name: str = "tallyreel", master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **extra}.items():
+    for key, value in {**SETTINGS, **START_SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

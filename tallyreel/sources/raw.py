@@ -123,12 +123,18 @@ class RawTables:
         return self._hot[(table, key)]
 
 
-def land_raw(tables: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
-    """Full refresh of the raw layer as Parquet files below one folder."""
+def land_raw(
+    tables: Mapping[str, DataFrame], folder: str, rows_per_file: Mapping[str, int] | None = None
+) -> dict[str, DataFrame]:
+    """Full refresh of the raw layer as Parquet files below one folder.
+
+    A row limit per file keeps even a small table readable by several tasks, without a shuffle.
+    """
     landed = {}
     for name, df in tables.items():
         path = f"{folder}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        limit = (rows_per_file or {}).get(name, 0)
+        df.write.mode("overwrite").option("maxRecordsPerFile", limit).parquet(path)
         landed[name] = df.sparkSession.read.schema(df.schema).parquet(path)
     return landed
 

@@ -161,6 +161,13 @@ def mapped_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
+# Driver table behind each raw table.
+ORIGINS = {
+    "playback_events": "lineitem",
+    "subscriptions": "orders",
+    "asset_catalog": "part",
+    "users": "customer",
+}
 _LANDED: dict[tuple[str, str], RawTables] = {}
 
 
@@ -169,6 +176,12 @@ def landed_sample(spark: SparkSession, sf_dir: str) -> RawTables:
     where = (spark.sparkContext.applicationId, sf_dir)
     if where not in _LANDED:
         folder = f"{shared_folder(spark)}/raw-{len(_LANDED)}"
-        tables = land_raw(mapped_tables(spark, sf_dir), folder)
+        cores = spark.sparkContext.defaultParallelism
+        # Row counts come from the Parquet footers; about one file per core for a small table.
+        per_file = {
+            name: max(1_000, _table(spark, sf_dir, origin).count() // cores)
+            for name, origin in ORIGINS.items()
+        }
+        tables = land_raw(mapped_tables(spark, sf_dir), folder, per_file)
         _LANDED[where] = RawTables(tables, standard_rates(spark), standard_config().max_group_rows)
     return _LANDED[where]

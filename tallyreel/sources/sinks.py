@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Facts any team may adopt, and definitions one team owns.
+STAGING_NAMESPACE = "staging"
 DATA_NAMESPACE = "marts_data"
 PRODUCT_NAMESPACE = "marts_product"
 
@@ -18,18 +20,39 @@ def staging_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def write_mart(
-    df: DataFrame, namespace: str, table: str, path: str | None = None, partition_by: list[str] | None = None
+    df: DataFrame,
+    namespace: str,
+    table: str,
+    path: str | None = None,
+    partition_by: str | None = None,
+    bucket_by: str | None = None,
 ) -> DataFrame:
-    """Full refresh of one mart table; readers get it back as a scan."""
+    """Full refresh of one mart table; readers get it back as a scan.
+
+    ``path`` is the folder of the namespace. ``partition_by`` lays rows out by a column for
+    partition pruning; the rebalance hint lets AQE split a value that holds too many of them.
+    ``bucket_by`` lays rows out for later joins, windows and aggregations on that column, which
+    then need no shuffle. A bucket is read by one task, so use it only where no single value is
+    large (RawTables.hot returns None).
+    """
     spark = df.sparkSession
-    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}")
+    place = "" if path is None else f" LOCATION {_quoted(path)}"
+    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}{place}")
+    if partition_by:
+        df = df.hint("rebalance", F.col(partition_by))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if bucket_by:
+        # The same hash as the buckets, so each task writes one file.
+        df = df.repartition(buckets, bucket_by)
     writer = df.write.mode("overwrite").format("parquet")
     if path is not None:
-        writer = writer.option("path", path)
+        writer = writer.option("path", f"{path}/{table}")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        writer = writer.partitionBy(partition_by)
+    if bucket_by:
+        writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
     writer.saveAsTable(f"{namespace}.{table}")
-    return spark.table(f"{namespace}.{table}")
+    return spark.table(f"{namespace}.{table}").select(*df.columns)
 
 
 def _quoted(text: str) -> str:

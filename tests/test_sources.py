@@ -5,11 +5,13 @@ from pyspark.sql import functions as F
 
 from tallyreel.config import standard_config
 from tallyreel.plans.build import DATA_MARTS, PRODUCT_MARTS, Models, build
+from tallyreel.profiling import sequences as SEQ
 from tallyreel.quality import declared as D
 from tallyreel.quality.suite import run_declared
 from tallyreel.sources import raw as R
 from tallyreel.sources import workspace
 from tallyreel.sources.sample_feed import landed_sample
+from tallyreel.sources.sinks import write_mart
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -88,7 +90,7 @@ def test_landing_lies_below_the_configured_folder(spark):
 def test_build_writes_documented_marts(spark, tmp_path):
     raw = landed_sample(spark, SF_DIR)
     config = standard_config()
-    built = build(raw, config, str(tmp_path))
+    built = build(raw, config, str(tmp_path / "marts"))
     lazy = Models(raw, config)
     for name in [*DATA_MARTS, *PRODUCT_MARTS]:
         written, computed = getattr(built, name), getattr(lazy, name)
@@ -100,6 +102,26 @@ def test_build_writes_documented_marts(spark, tmp_path):
     assert failing.filter(F.col("failing_rows") > 0).count() == 0
 
 
+def test_bucketed_events_need_no_shuffle(spark, tmp_path):
+    """Events written by session: ordered profiles and the session roll-up read them in place."""
+    raw = landed_sample(spark, SF_DIR)
+    events = Models(raw, standard_config()).stg_playback_events
+    written = write_mart(events, "staging_bucketed", "events", str(tmp_path / "b"), bucket_by="session_id")
+    assert written.exceptAll(events).count() == 0 and events.exceptAll(written).count() == 0
+    profile = SEQ.divergence_summary(written, None)
+    plan = profile._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(session_id" not in plan
+    assert profile.collect() == SEQ.divergence_summary(events, None).collect()
+
+
+def test_partitioned_mart_prunes(spark, tmp_path):
+    sessions = Models(landed_sample(spark, SF_DIR), standard_config()).fct_session
+    written = write_mart(sessions, "by_day", "sessions", str(tmp_path / "p"), partition_by="session_date")
+    one_day = written.filter("session_date = date'2025-09-03'")
+    assert "PartitionFilters: [isnotnull(session_date" in one_day._jdf.queryExecution().executedPlan().toString()
+    assert one_day.count() == sessions.filter("session_date = date'2025-09-03'").count() > 0
+
+
 def test_small_row_limit_changes_nothing(spark):
     """With a limit of a few rows nearly every group is hot; the marts must stay the same."""
     raw = landed_sample(spark, SF_DIR)
