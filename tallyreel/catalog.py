@@ -567,6 +567,17 @@ PLANS["stop_vs_last_beat"] = lambda m, _: SES.stop_vs_heartbeat(
 )
 
 
+_MODELS: dict[tuple[str, str], Models] = {}
+
+
+def models(spark: SparkSession, sf_dir: str) -> Models:
+    """The lazy tables of one folder, composed once per Spark application."""
+    where = (spark.sparkContext.applicationId, sf_dir)
+    if where not in _MODELS:
+        _MODELS[where] = Models(landed_sample(spark, sf_dir), standard_config())
+    return _MODELS[where]
+
+
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     """One registered query over the tables of a folder."""
-    return PLANS[name](Models(landed_sample(spark, sf_dir), standard_config()), sf_dir)
+    return PLANS[name](models(spark, sf_dir), sf_dir)

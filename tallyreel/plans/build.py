@@ -15,6 +15,7 @@ from tallyreel.sources.sinks import (
     PRODUCT_NAMESPACE,
     STAGING_NAMESPACE,
     persist_docs,
+    with_comments,
     write_mart,
 )
 
@@ -86,15 +87,11 @@ def build(raw: RawTables, config: EngineConfig, path: str | None = None) -> Mode
     """Write every mart in dependency order; each later one reads the written ones.
 
     The cleaned events are not a mart, but sessions, checks and the ordered profiles all read
-    them, so they are written too. Layouts serve the readers: events by session (unless some
-    session is too big for one bucket), sessions by day. Staging views of small sources stay lazy.
+    them, so they are written too, bucketed by session unless some session is too big for one
+    bucket. Staging views of small sources stay lazy.
     """
     models = Models(raw, config)
-    big_sessions = raw.hot("playback_events", "session_id") is not None
-    layouts = {
-        "stg_playback_events": {} if big_sessions else {"bucket_by": "session_id"},
-        "fct_session": {"partition_by": "session_date"},
-    }
+    buckets = None if raw.hot("playback_events", "session_id") else "session_id"
     for namespace, names in (
         (STAGING_NAMESPACE, ["stg_playback_events"]),
         (DATA_NAMESPACE, DATA_MARTS),
@@ -102,9 +99,9 @@ def build(raw: RawTables, config: EngineConfig, path: str | None = None) -> Mode
     ):
         folder = None if path is None else f"{path}/{namespace}"
         for name in names:
-            written = write_mart(
-                getattr(models, name), namespace, name, folder, **layouts.get(name, {})
-            )
-            persist_docs(written.sparkSession, f"{namespace}.{name}", TABLES[name], COLUMNS.get(name, {}))
+            described = with_comments(getattr(models, name), COLUMNS.get(name, {}))
+            by = buckets if name == "stg_playback_events" else None
+            written = write_mart(described, namespace, name, folder, bucket_by=by)
+            persist_docs(written.sparkSession, f"{namespace}.{name}", TABLES[name], {})
             setattr(models, name, written)
     return models

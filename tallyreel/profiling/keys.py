@@ -66,11 +66,11 @@ def fk_orphans_leftjoin(links: Sequence[tuple[str, DataFrame, DataFrame, str]])
 
 
 def fk_orphans_antijoin(links: Sequence[tuple[str, DataFrame, DataFrame, str]]) -> DataFrame:
-    """Orphan rows and keys, each row counted once."""
+    """Orphan rows and keys, each row counted once. Rows are combined per key before the join."""
     return stacked(
         [
-            orphans(child, parent, key)
-            .agg(row_count().alias("orphan_rows"), F.count_distinct(key).alias("orphan_keys"))
+            orphans(child.groupBy(key).agg(row_count().alias("n")), parent, key)
+            .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_rows"), row_count().alias("orphan_keys"))
             .select(F.lit(label).alias("fk"), "orphan_rows", "orphan_keys")
             for label, child, parent, key in links
         ]

@@ -55,12 +55,19 @@ def write_mart(
     return spark.table(f"{namespace}.{table}").select(*df.columns)
 
 
+def with_comments(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """Attach column descriptions to the schema, so that the write itself stores them."""
+    return df.select(
+        *[F.col(c).alias(c, metadata={"comment": columns[c]}) if c in columns else c for c in df.columns]
+    )
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def persist_docs(spark: SparkSession, table: str, description: str, columns: Mapping[str, str]) -> None:
-    """Write table and column descriptions into the catalog."""
+    """Write table and column descriptions of an existing table into the catalog."""
     spark.sql(f"COMMENT ON TABLE {table} IS {_quoted(description)}")
     for column, text in columns.items():
         spark.sql(f"ALTER TABLE {table} ALTER COLUMN {column} COMMENT {_quoted(text)}")
