@@ -492,7 +492,7 @@ PLANS["profile_subs_per_user"] = lambda m, _: SUB.subs_per_user(_subs(m))
 PLANS["profile_overlapping_subs"] = lambda m, _: SUB.overlapping_subs(_subs(m), _hot_users(m))
 PLANS["sample_subscription"] = lambda m, _: SUB.sample_subscription(_subs(m))
 PLANS["sample_multi_sub_user"] = lambda m, _: SUB.sample_multi_sub_user(_subs(m))
-PLANS["profile_status_paths"] = lambda m, _: SUB.status_paths(_subs(m))
+PLANS["profile_status_paths"] = lambda m, _: SUB.status_paths(_subs(m), m.raw.hot("subscriptions", "subscription_id"))
 PLANS["profile_stops_per_session"] = lambda m, _: SES.events_per_session(_events(m), "stop", "n_stops")
 PLANS["profile_stop_vs_duration"] = lambda m, _: SES.stop_vs_duration(_events(m), _catalog(m))
 # Relation labels.
@@ -557,7 +557,7 @@ PLANS["broken_durations"] = lambda m, _: SH.bad_durations(
     _catalog(m), ["asset_id", "asset_type", "sport", "title", "duration_seconds"], nulls_too=False
 )
 PLANS["currency_by_plan"] = lambda m, _: SUB.smallest_amount(_subs(m))
-PLANS["subscription_lifecycles"] = lambda m, _: SUB.status_paths(_subs(m))
+PLANS["subscription_lifecycles"] = lambda m, _: SUB.status_paths(_subs(m), m.raw.hot("subscriptions", "subscription_id"))
 PLANS["overlapping_pairs_list"] = lambda m, _: SUB.overlapping_pairs_list(_subs(m), _hot_users(m))
 PLANS["heartbeat_gap_counts"] = lambda m, _: SES.heartbeat_cadence(_events(m), _hot_sessions(m), None)
 PLANS["completion_deciles"] = lambda m, _: SES.completion_histogram(_events(m), _catalog(m), clamp_first=True)

@@ -111,25 +111,34 @@ def ordered_columns(
 
     if hot is None:
         return plain(df)
+    cold_rows, placed = place_in_pieces(df, keys, order, hot)
+    return plain(cold_rows).unionByName(_carried(placed, df.columns, keys, order, new))
+
+
+def place_in_pieces(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: HotGroups
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of all other groups, and rows of hot groups with a column ``_piece``.
+
+    Piece numbers rise with the order inside a group. The reliable checkpoint keeps them: range
+    bounds come from a sample, so a recomputed plan could cut elsewhere.
+    """
     match = _same_keys("d", "h", list(zip(keys, hot.columns, strict=True)))
     cold_rows = df.alias("d").join(hot.keys.alias("h"), match, "left_anti")
     hot_rows = df.alias("d").join(hot.keys.alias("h"), match, "left_semi")
-    return plain(cold_rows).unionByName(_in_pieces(hot_rows, keys, order, new, hot.pieces))
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = hot_rows.repartitionByRange(hot.pieces, *[F.col(k) for k in keys], *ascending(order))
+    return cold_rows, ranged.withColumn("_piece", F.spark_partition_id()).checkpoint()
 
 
-def _in_pieces(
-    df: DataFrame,
+def _carried(
+    placed: DataFrame,
+    columns: Sequence[str],
     keys: Sequence[str],
     order: Sequence[str],
     new: Mapping[str, Spec],
-    pieces: int,
 ) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    placed = (
-        df.repartitionByRange(pieces, *[F.col(k) for k in keys], *ascending(order))
-        .withColumn("_piece", F.spark_partition_id())
-        .checkpoint()
-    )
+    """Window each piece on its own, then bring in what the pieces before (or after) it know."""
     inside = Window.partitionBy(*keys, "_piece").orderBy(*ascending(order))
     local = placed.withColumns(
         {
@@ -184,4 +193,4 @@ def _in_pieces(
             final[name] = F.greatest(own, carried)
         else:
             final[name] = F.coalesce(own + carried, own, carried)
-    return result.withColumns(final).select(*df.columns, *new)
+    return result.withColumns(final).select(*columns, *new)

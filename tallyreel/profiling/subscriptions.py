@@ -9,6 +9,7 @@ from tallyreel.functions.numeric import round_half_away
 from tallyreel.functions.timestamps import parse_naive
 from tallyreel.operators.classify import bucketize_labels
 from tallyreel.operators.intervals import overlap_partners
+from tallyreel.operators.paths import ordered_paths
 from tallyreel.operators.split_window import HotGroups
 from tallyreel.plans.marts_data import ENDED_STATES, PAID_PLANS
 from tallyreel.profiling.shared import row_count, stacked, top
@@ -83,12 +84,12 @@ def sample_multi_sub_user(subscriptions: DataFrame, at_least: int = 4) -> DataFr
     return subscriptions.filter(F.col("user_id") == chosen).orderBy("subscription_id", "event_effective_ts")
 
 
-def status_paths(subscriptions: DataFrame) -> DataFrame:
+def status_paths(subscriptions: DataFrame, hot: HotGroups | None = None) -> DataFrame:
     """Ordered status path per subscription, counted."""
-    path = F.expr("listagg(status, ' -> ') WITHIN GROUP (ORDER BY event_effective_ts, status)")
-    per_sub = subscriptions.groupBy("subscription_id").agg(path.alias("path"))
+    order = ["event_effective_ts", "status"]
     return (
-        per_sub.groupBy("path")
+        ordered_paths(subscriptions, "subscription_id", "status", order, " -> ", "path", hot)
+        .groupBy("path")
         .agg(row_count().alias("subscriptions"))
         .orderBy(F.desc("subscriptions"), "path")
     )

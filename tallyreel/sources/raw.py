@@ -107,7 +107,7 @@ class RawTables:
     tables: Mapping[str, DataFrame]
     rates: DataFrame
     max_group_rows: int
-    _hot: dict[tuple[str, str], HotGroups | None] = field(default_factory=dict)
+    _hot: dict[tuple[str, str, str], HotGroups | None] = field(default_factory=dict)
 
     def __getitem__(self, table: str) -> DataFrame:
         return self.tables[table]
@@ -117,10 +117,11 @@ class RawTables:
 
         Cleaning only drops rows of a group, so this also covers every table derived from it.
         """
-        if (table, key) not in self._hot:
+        which = (table, key, key_type)
+        if which not in self._hot:
             typed = self.tables[table].select(F.col(key).try_cast(key_type).alias(key))
-            self._hot[(table, key)] = find_hot_groups(typed, [key], self.max_group_rows)
-        return self._hot[(table, key)]
+            self._hot[which] = find_hot_groups(typed, [key], self.max_group_rows)
+        return self._hot[which]
 
 
 def land_raw(

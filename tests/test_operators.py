@@ -10,8 +10,10 @@ from tallyreel.config import EngineConfig, standard_config
 from tallyreel.operators.collapse import collapse_agreeing
 from tallyreel.operators.dedupe import dedupe_first
 from tallyreel.operators.lookups import flag_unknown, keep_known, orphans
+from tallyreel.operators.paths import ordered_paths
 from tallyreel.operators.quantiles import exact_quantiles
 from tallyreel.operators.rates import temporal_rate_join
+from tallyreel.operators.split_window import find_hot_groups
 from tallyreel.plans import marts_data as MD
 from tallyreel.plans import marts_product as MP
 from tallyreel.plans import staging as ST
@@ -327,6 +329,20 @@ def test_fanout_counts_nulls_and_repeats(spark):
     assert rows(K.fk_orphans_antijoin([("x", child, parent, "k")])) == [("x", 1, 1)]
 
 
+@pytest.mark.parametrize("limit", [100, 4])
+def test_ordered_paths(spark, limit):
+    data = [(1, f"v{i % 3}" if i % 5 else None, i) for i in range(30)] + [(2, "a", 2), (2, "b", 1), (3, None, 1)]
+    df = spark.createDataFrame(data, "k int, v string, t int").repartition(5)
+    expected = {
+        1: ">".join(v for k, v, _ in data if k == 1 and v is not None),
+        2: "b>a",
+        3: None,
+    }
+    hot = find_hot_groups(df, ["k"], limit)
+    assert (hot is None) == (limit == 100)
+    assert dict(rows(ordered_paths(df, "k", "v", ["t", "v"], ">", "path", hot))) == expected
+
+
 def test_concurrent_paid_with_reversed_spans(spark):
     """An ending before the first activation: the pair formula still applies, by brute force."""
     data, spans = [], {}

@@ -120,14 +120,3 @@ def test_partitioned_mart_prunes(spark, tmp_path):
     one_day = written.filter("session_date = date'2025-09-03'")
     assert "PartitionFilters: [isnotnull(session_date" in one_day._jdf.queryExecution().executedPlan().toString()
     assert one_day.count() == sessions.filter("session_date = date'2025-09-03'").count() > 0
-
-
-def test_small_row_limit_changes_nothing(spark):
-    """With a limit of a few rows nearly every group is hot; the marts must stay the same."""
-    raw = landed_sample(spark, SF_DIR)
-    tiny = R.RawTables(raw.tables, raw.rates, max_group_rows=5)
-    config = standard_config()
-    for name in ("dim_subscription_history", "fct_user_paid_spells"):
-        normal, cut = getattr(Models(raw, config), name), getattr(Models(tiny, config), name)
-        assert normal.exceptAll(cut).count() == 0 and cut.exceptAll(normal).count() == 0
-    assert tiny.hot("subscriptions", "user_id", "bigint") is not None
