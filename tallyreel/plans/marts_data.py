@@ -165,10 +165,14 @@ def paid_tenure(history: DataFrame, spells: DataFrame) -> DataFrame:
     """Per user: paid spells and days, open spells capped at the newest change of anyone."""
     newest = history.agg(F.max("valid_from")).scalar()
     days = days_between(F.col("paid_from"), F.least(F.col("paid_to"), newest))
-    return spells.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("paid_spell_count"),
-        F.min("paid_from").alias("first_paid_at"),
-        F.sum(days).alias("total_paid_days"),
+    return (
+        spells.withColumn("days", days)
+        .groupBy("user_id")
+        .agg(
+            F.count(F.lit(1)).alias("paid_spell_count"),
+            F.min("paid_from").alias("first_paid_at"),
+            F.sum("days").alias("total_paid_days"),
+        )
     )
 
 

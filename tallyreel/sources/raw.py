@@ -141,10 +141,17 @@ def land_raw(
 
 
 def land_raw_tables(tables: Mapping[str, DataFrame], namespace: str = "raw") -> None:
-    """Full refresh of the raw layer as catalog tables."""
+    """Full refresh of the raw layer as catalog tables; tables no longer delivered are dropped.
+
+    Reading resolves every extract first, so a missing one fails before anything is replaced.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}")
     for name, df in tables.items():
-        df.sparkSession.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}")
         df.write.mode("overwrite").format("parquet").saveAsTable(f"{namespace}.{name}")
+    for row in spark.sql(f"SHOW TABLES IN {namespace}").collect():
+        if row["tableName"] not in tables and not row["isTemporary"]:
+            spark.sql(f"DROP TABLE {namespace}.{row['tableName']}")
 
 
 def landing_report(tables: Mapping[str, DataFrame]) -> DataFrame:
