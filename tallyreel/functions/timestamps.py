@@ -6,7 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 ALL_DIGITS = r"\A[0-9]+\z"  # \A..\z, because $ would accept a trailing newline
-ISO_WITH_MARKERS = "%T%Z"
 # A naive cast would read '2025-09' as the first of the month and '2025-09-01 10' as ten o'clock.
 # Only a full date, alone or with at least hours and minutes, counts as a timestamp.
 FULL_SHAPE = r"\A\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}(\s*|[ T]+[0-9]{1,2}:[0-9]{1,2}.*)\z"
@@ -25,7 +24,8 @@ def is_epoch_text(text: Column) -> Column:
 
 
 def is_iso_utc_text(text: Column) -> Column:
-    return text.like(ISO_WITH_MARKERS)
+    """Same as LIKE '%T%Z', which would run as a backtracking regular expression."""
+    return text.endswith("Z") & text.contains("T")
 
 
 def parse_naive(text: Column) -> Column:

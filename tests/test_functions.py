@@ -45,6 +45,12 @@ def test_normalize_timestamp(spark, text, expected):
     assert result == [expected]
 
 
+def test_iso_marker_test_equals_like(spark):
+    rows = ["2025-09-01T00:35:18Z", "T", "Z", "TZ", "ZT", "T\nZ", "aTbZc", "ZTZ", "", None]
+    df = spark.createDataFrame([(r,) for r in rows], "t string")
+    assert df.filter(~TS.is_iso_utc_text(F.col("t")).eqNullSafe(F.col("t").like("%T%Z"))).count() == 0
+
+
 def test_normalize_is_zone_free(spark):
     zone = spark.conf.get("spark.sql.session.timeZone")
     try:
