@@ -31,10 +31,6 @@ def one_row_to_many(row: DataFrame, entries: Sequence[Mapping[str, Column]]) ->
     return row.select(F.explode(F.array(*structs)).alias("_r")).select("_r.*")
 
 
-def count_by(df: DataFrame, keys: Sequence[Column], count: str) -> DataFrame:
-    return df.groupBy(*keys).agg(row_count().alias(count))
-
-
 def top(df: DataFrame, order: Sequence[Column], limit: int) -> DataFrame:
     return df.orderBy(*order).limit(limit)
 

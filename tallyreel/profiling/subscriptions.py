@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tallyreel.functions.numeric import round_half_away
 from tallyreel.functions.timestamps import parse_naive
-from tallyreel.operators.classify import bucketize_labels
 from tallyreel.operators.intervals import overlap_partners
 from tallyreel.operators.paths import ordered_paths
 from tallyreel.operators.split_window import HotGroups

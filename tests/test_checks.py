@@ -1,7 +1,6 @@
 """Every check passes on good data and fires on bad data."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from tallyreel.quality import checks as Q
 from tallyreel.quality import declared as D

@@ -9,6 +9,7 @@ from tallyreel.functions import cleaning as C
 from tallyreel.functions import numeric as N
 from tallyreel.functions import timestamps as TS
 from tallyreel.operators.classify import classify_threshold
+from tallyreel.session import shuffle_partitions_for
 
 
 def values(spark, rows, schema, expression):
@@ -152,3 +153,9 @@ def test_classify_threshold(spark):
         "engaged",
         "engaged",
     ]
+
+
+def test_shuffle_partitions():
+    assert shuffle_partitions_for(0, 8) == 8
+    assert shuffle_partitions_for(129 * 1024 * 1024, 1) == 2
+    assert shuffle_partitions_for(100 * 10**12, 4000) > 700_000
