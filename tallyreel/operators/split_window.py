@@ -20,6 +20,10 @@ from pyspark.sql import functions as F
 from tallyreel.sources.workspace import ensure_checkpoint_dir
 
 
+# Keys of hot groups are broadcast up to this counted number; beyond it the planner decides.
+BROADCAST_GROUPS = 10_000
+
+
 @dataclass(frozen=True)
 class Lag:
     column: str
@@ -64,13 +68,16 @@ class HotGroups:
 def find_hot_groups(df: DataFrame, keys: Sequence[str], max_rows: int) -> HotGroups | None:
     """Count rows per group and keep the groups above ``max_rows``; None when there is none."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > max_rows)
-    total = sizes.agg(F.sum("_rows").alias("t")).first()["t"]
-    if total is None:
+    found = sizes.agg(F.count(F.lit(1)).alias("groups"), F.sum("_rows").alias("total")).first()
+    if not found["groups"]:
         return None
     ensure_checkpoint_dir(df.sparkSession)
+    hot_keys = sizes.select(*keys).checkpoint()
+    if found["groups"] <= BROADCAST_GROUPS:
+        hot_keys = F.broadcast(hot_keys)
     # Twice as many pieces as strictly needed, since range bounds come from a sample.
-    pieces = max(2, math.ceil(2 * total / max_rows))
-    return HotGroups(sizes.select(*keys).checkpoint(), tuple(keys), pieces)
+    pieces = max(2, math.ceil(2 * found["total"] / max_rows))
+    return HotGroups(hot_keys, tuple(keys), pieces)
 
 
 def _same_keys(left: str, right: str, pairs: Sequence[tuple[str, str]]) -> Column:
