@@ -74,7 +74,7 @@ def connected_classes(edges: DataFrame) -> DataFrame:
         # ... then the node and its smaller neighbours hang onto the smallest of them.
         low = pairs.groupBy("a").agg(F.min("b").alias("m"))
         joined = pairs.join(low, "a")
-        small = low.union(joined.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")))
+        small = low.withColumnRenamed("m", "b").union(joined.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")))
         pairs = settle(small.distinct())
         chained = pairs.join(pairs.select(F.col("b").alias("a")).distinct(), "a", "left_semi").select("a")
         doubled = pairs.groupBy("a").count().filter("count > 1").select("a")

@@ -4,23 +4,71 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyreel.llm import bpe
+from tallyreel.llm import bpe, cotraining, decontaminate, hilbert, language_id, near_dedup, permutation_index, token_scan
 from tallyreel.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
+# Free in the rank file, and the public vocabulary's end-of-document id.
+END_OF_DOCUMENT = 50256
 
 
-def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import public_tokenizers
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    dictionaries = language_id.learn(docs.filter(~language_id.held_out()))
+    out = language_id.predict(docs, dictionaries)
+    return out.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "margin", "rejected")
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return cotraining.score(docs, cotraining.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = near_dedup.near_classes(table(spark, sf_dir, "documents"))
+    return classes.withColumn("kept", F.col("doc_id") == F.col("class_id"))
+
+
+def op4_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    return permutation_index.nearest(vectors, vectors.filter("vec_id % 50 = 0").select("vec_id"), k=5)
 
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    blocks = token_scan.tokenize(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, END_OF_DOCUMENT)
+    return token_scan.count_tokens(token_scan.settle(blocks), END_OF_DOCUMENT)
+
+
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return bpe.encode_decode(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op8_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.shard_rows(table(spark, sf_dir, "documents"), shards=40)
+
+
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op6_byte_bpe": op6_byte_bpe,
+    query.__name__: query
+    for query in (
+        op1_language_id,
+        op2_quality_classifier,
+        op3_minhash_near_dedup,
+        op4_permutation_index,
+        op5_token_counts,
+        op6_byte_bpe,
+        op8_hilbert_shards,
+        op9_benchmark_decontamination,
+    )
 }
 
 # DuckDB SQL for the queries that SQL can express.
