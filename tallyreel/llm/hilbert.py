@@ -77,7 +77,11 @@ def hilbert_order(df: DataFrame, dimensions: Sequence[str], bits: int = 8) -> Da
 
     @F.pandas_udf("long")
     def index(*columns: pd.Series) -> pd.Series:
-        cells = [np.searchsorted(f, c.to_numpy(np.float64), side="right") for f, c in zip(fences, columns, strict=True)]
+        cells = [
+            # A dimension with few values still spreads over the whole side of the cube.
+            (np.searchsorted(f, c.to_numpy(np.float64), side="right") << bits) // (len(f) + 1)
+            for f, c in zip(fences, columns, strict=True)
+        ]
         return pd.Series(curve_index(np.stack(cells, axis=1), bits))
 
     return df.withColumn("curve", index(*values))

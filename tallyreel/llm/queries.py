@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyreel.llm import bpe, cotraining, decontaminate, hilbert, language_id, near_dedup, permutation_index, token_scan
+from tallyreel.llm import bpe, cotraining, decontaminate, hilbert, language_id, near_dedup, permutation_index, quotes, repeats, token_scan
 from tallyreel.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -49,6 +49,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.reply_order(table(spark, sf_dir, "conversations"))
+
+
 def op8_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.shard_rows(table(spark, sf_dir, "documents"), shards=40)
 
@@ -57,6 +61,10 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removal_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -66,8 +74,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_permutation_index,
         op5_token_counts,
         op6_byte_bpe,
+        op7_chat_formatting,
         op8_hilbert_shards,
         op9_benchmark_decontamination,
+        op10_suffix_array_dedup,
     )
 }
 
