@@ -17,7 +17,13 @@ from tallyreel.sources.workspace import shared_folder
 CHUNK_BYTES = 2 << 20
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Rows go to Python in batches of a few MB at most, whatever their number: texts differ in length by far."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 * CHUNK_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -81,5 +81,46 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-# DuckDB SQL for the queries that SQL can express.
+# DuckDB SQL for the queries that SQL can express. The others are held against brute force in the tests.
 ORACLE: dict[str, str] = {}
+
+ORACLE["op7_chat_formatting"] = r"""
+WITH RECURSIVE messages AS (SELECT row_number() OVER () AS m, conv_id, turn, role, text FROM conversations),
+split AS (SELECT m, conv_id, turn, string_split_regex(coalesce(text, ''), '\r?\n') AS l FROM messages),
+lines AS (SELECT m, conv_id, turn, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM split),
+levels AS (SELECT m, conv_id, turn, i, regexp_replace(line, '^(\s*>)+ ?', '') AS body,
+                  length(regexp_replace(regexp_extract(line, '^(\s*>)+'), '[^>]', '', 'g')) AS level FROM lines),
+starts AS (SELECT *, if(level = lag(level) OVER (PARTITION BY m ORDER BY i), 0, 1) AS begins FROM levels),
+runs AS (SELECT *, sum(begins) OVER (PARTITION BY m ORDER BY i) AS run FROM starts),
+passages AS (SELECT m, conv_id, turn, level, string_agg(body, chr(10) ORDER BY i) AS body FROM runs
+             GROUP BY m, conv_id, turn, level, run),
+own AS (SELECT m, conv_id, turn, coalesce(trim(string_agg(body, chr(10) ORDER BY i) FILTER (level = 0)), '') AS body
+        FROM levels GROUP BY ALL),
+parts AS (
+    SELECT conv_id, turn, level, 0 AS part, body FROM passages
+    UNION ALL SELECT conv_id, turn, level, 1, body FROM levels
+    UNION ALL SELECT conv_id, turn, 0, 0, body FROM own),
+said AS (SELECT DISTINCT conv_id, turn, level, part, trim(regexp_replace(lower(body), '[^\p{L}\p{N}]+', ' ', 'g')) AS words
+         FROM parts WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+origins AS (SELECT conv_id, words, min(turn) AS origin FROM said WHERE level = 0 AND words <> '' GROUP BY ALL),
+links AS (
+    SELECT q.conv_id, q.turn, arg_min(origin, (level, part, -origin)) AS parent, count(*) AS linked
+    FROM said q JOIN origins o ON o.conv_id = q.conv_id AND o.words = q.words AND origin < q.turn
+    WHERE level > 0 GROUP BY ALL),
+climbs AS (
+    SELECT conv_id, turn, parent AS root FROM links
+    UNION ALL
+    SELECT c.conv_id, c.turn, l.parent FROM climbs c JOIN links l ON l.conv_id = c.conv_id AND l.turn = c.root),
+threads AS (SELECT conv_id, turn, min(root) AS root FROM climbs GROUP BY ALL),
+quoted AS (SELECT m, (count(*) FILTER (level > 0))::int AS quoted FROM passages GROUP BY m),
+placed AS (
+    SELECT x.conv_id, x.turn, x.role, parent, coalesce(root, x.turn) AS thread, quoted,
+           coalesce(linked, 0) AS linked, own.body AS text
+    FROM messages x JOIN own USING (m) JOIN quoted USING (m)
+    LEFT JOIN links l ON l.conv_id = x.conv_id AND l.turn = x.turn
+    LEFT JOIN threads t ON t.conv_id = x.conv_id AND t.turn = x.turn)
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY thread NULLS LAST, turn NULLS LAST, role NULLS LAST,
+                                                                 text NULLS LAST) AS position,
+       turn, role, parent, thread, quoted, linked, text,
+       '<|' || coalesce(role, 'unknown') || '|>' || chr(10) || text || chr(10) || '<|end|>' || chr(10) AS formatted
+FROM placed"""

@@ -4,15 +4,17 @@ import hashlib
 import random
 from collections import Counter
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
 import tiktoken
+from parity import differences
 
 from tallyreel.llm import bpe, cotraining, decontaminate, hilbert, language_id, near_dedup, permutation_index, quotes, repeats, token_scan
 from tallyreel.llm.common import connected_classes
-from tallyreel.llm.queries import END_OF_DOCUMENT, RANKS
+from tallyreel.llm.queries import END_OF_DOCUMENT, ORACLE, RANKS
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, curve string, shard string"
 
@@ -330,6 +332,10 @@ def test_quotes_link_and_order(spark):
         assert out.filter("conv_id = 2").first()["parent"] is None
         assert [r["parent"] for r in out.filter("conv_id = 4").orderBy("position").collect()] == [None, None, 0]
     assert quotes.reply_order(messages.limit(0)).count() == 0
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    assert differences(out, con, ORACLE["op7_chat_formatting"]) == []
 
 
 def test_quotes_stay_in_the_jvm(spark):
