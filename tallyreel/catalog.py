@@ -21,7 +21,7 @@ from tallyreel.operators.rates import temporal_rate_join
 from tallyreel.operators.sessions import sessionize
 from tallyreel.operators.spine import spine_rollup
 from tallyreel.plans import marts_product
-from tallyreel.plans.build import Models
+from tallyreel.plans.build import Models, table_of
 from tallyreel.plans.descriptions import COLUMNS, TABLES
 from tallyreel.profiling import keys as K
 from tallyreel.profiling import sequences as SEQ
@@ -33,7 +33,7 @@ from tallyreel.quality import declared as D
 from tallyreel.quality.suite import failing_count, run_declared
 from tallyreel.profiling.shared import stacked
 from tallyreel.sources import raw as R
-from tallyreel.sources.sample_feed import landed_sample, mapped_tables
+from tallyreel.sources.sample_feed import landed_sample
 from tallyreel.sources.sinks import DATA_NAMESPACE, documented_columns, persist_docs, staging_view, write_mart
 from tallyreel.sources.workspace import shared_folder
 
@@ -87,22 +87,41 @@ def _hot_user_ids(m: Models):
 # ------------------------------------------------------------------ sources and sinks
 
 
+def _written_csv(m: Models, df: DataFrame, name: str) -> str:
+    path = f"{shared_folder(_spark(m))}/extracts/{name}.csv"
+    R.write_raw_csv(df, path)
+    return path
+
+
 @plan("read_raw_csv")
 def _(m, sf_dir):
-    """The change log written as CSV and read back as text."""
-    path = f"{shared_folder(_spark(m))}/extracts/subscriptions.csv"
-    _subs(m).write.mode("overwrite").option("header", True).csv(path)
-    return R.read_raw_csv(_spark(m), path, R.RAW_COLUMNS["subscriptions"])
+    """The catalog written as CSV, with quotes, commas and backslashes in its titles, and read back as text."""
+    awkward = F.concat(F.lit('The "'), F.col("title"), F.lit('", part 1\\'))
+    path = _written_csv(m, _catalog(m).withColumn("title", awkward), "asset_catalog_quoted")
+    return R.read_raw_csv(_spark(m), path, R.RAW_COLUMNS["asset_catalog"])
 
 
 @plan("land_raw")
 def _(m, sf_dir):
-    tables = {"asset_catalog": mapped_tables(_spark(m), sf_dir)["asset_catalog"]}
-    return R.land_raw(tables, f"{shared_folder(_spark(m))}/landed")["asset_catalog"]
+    """All four extracts from CSV to catalog tables; a table that is no longer delivered goes."""
+    spark = _spark(m)
+    folder = f"{shared_folder(spark)}/extracts"
+    for name in R.RAW_COLUMNS:
+        _written_csv(m, m.raw[name], name)
+    R.land_raw_tables({"retired": _users(m).limit(1)}, "raw_landed")
+    R.land_raw_tables(R.read_extracts(spark, folder), "raw_landed")
+    landed = [r["tableName"] for r in spark.sql("SHOW TABLES IN raw_landed").collect()]
+    return R.landing_report({t: spark.table(f"raw_landed.{t}") for t in landed})
 
 
 PLANS["landing_report"] = lambda m, _: R.landing_report(m.raw.tables)
-PLANS["load_seed"] = lambda m, _: SUB.rates_in_use(_subs(m), m.raw.rates)
+
+
+@plan("load_seed")
+def _(m, sf_dir):
+    """The rate table written as CSV, loaded with its declared types, beside the rows that use it."""
+    rates = R.load_seed(_spark(m), _written_csv(m, m.raw.rates, "fx_rates"))
+    return SUB.rates_in_use(_subs(m), rates)
 
 
 @plan("staging_view")
@@ -165,18 +184,18 @@ PLANS["map_category_state"] = lambda m, _: _users(m).select(
 )
 PLANS["null_out_invalid"] = lambda m, _: _catalog(m).select(
     "asset_id",
-    C.null_out_below(F.col("duration_seconds").cast("double"), 1.0).alias("duration_seconds"),
-    F.col("duration_seconds").cast("double").alias("duration_seconds_raw"),
-    C.is_below(F.col("duration_seconds").cast("double"), 1.0).alias("has_invalid_duration"),
+    C.null_out_below(C.number(F.col("duration_seconds")), 1.0).alias("duration_seconds"),
+    C.number(F.col("duration_seconds")).alias("duration_seconds_raw"),
+    C.is_below(C.number(F.col("duration_seconds")), 1.0).alias("has_invalid_duration"),
 )
 PLANS["replay_flag"] = lambda m, _: _catalog(m).select(
     "asset_id", "title", C.replay_flag(F.col("title")).alias("is_replay")
 )
 PLANS["keep_raw_copy"] = lambda m, _: m.stg_users.select("user_id", "home_state", "home_state_raw")
 PLANS["typed_cast"] = lambda m, _: _events(m).select(
-    F.col("event_id").cast("bigint").alias("event_id"),
-    F.col("position_seconds").cast("double").alias("position_seconds"),
-    F.col("bitrate_kbps").cast("int").alias("bitrate_kbps"),
+    C.whole_number(F.col("event_id")).alias("event_id"),
+    C.number(F.col("position_seconds")).alias("position_seconds"),
+    C.whole_number(F.col("bitrate_kbps"), "int").alias("bitrate_kbps"),
     F.col("session_id").try_cast("bigint").alias("session_number"),
 )
 PLANS["anonymous_flag"] = lambda m, _: _events(m).select(
@@ -295,19 +314,10 @@ PLANS["orphan_filter_join"] = lambda m, _: keep_known(m.stg_subscriptions, m.stg
 # ------------------------------------------------------------------ declared checks
 
 
-def _table_of(m: Models) -> Callable[[str], DataFrame]:
-    def get(name: str) -> DataFrame:
-        if name == "fx_rates":
-            return m.raw.rates
-        return m.raw[name.removeprefix("raw_")] if name.startswith("raw_") else getattr(m, name)
-
-    return get
-
-
-PLANS["checks_source"] = lambda m, _: run_declared(_table_of(m), D.source_checks(SAMPLE_CHANNELS))
-PLANS["checks_staging"] = lambda m, _: run_declared(_table_of(m), D.STAGING_CHECKS)
-PLANS["checks_marts_data"] = lambda m, _: run_declared(_table_of(m), D.DATA_CHECKS)
-PLANS["checks_marts_product"] = lambda m, _: run_declared(_table_of(m), D.PRODUCT_CHECKS)
+PLANS["checks_source"] = lambda m, _: run_declared(table_of(m), D.source_checks(SAMPLE_CHANNELS))
+PLANS["checks_staging"] = lambda m, _: run_declared(table_of(m), D.STAGING_CHECKS)
+PLANS["checks_marts_data"] = lambda m, _: run_declared(table_of(m), D.DATA_CHECKS)
+PLANS["checks_marts_product"] = lambda m, _: run_declared(table_of(m), D.PRODUCT_CHECKS)
 
 
 @plan("checks_seed")
@@ -316,7 +326,7 @@ def _(m, sf_dir):
     uncovered = m.stg_subscriptions.filter(F.col("usd_billing_period_amount").isNull())
     return stacked(
         [
-            run_declared(_table_of(m), D.SEED_CHECKS),
+            run_declared(table_of(m), D.SEED_CHECKS),
             failing_count("stg_subscriptions: no rate", uncovered),
         ]
     )

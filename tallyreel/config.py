@@ -14,7 +14,7 @@ class EngineConfig:
     open_window_sentinel: str
     # Groups (one session, one user, ...) above this many rows are cut into ordered pieces
     # before a window runs over them, so no task ever holds more than about this many rows
-    # of one group. See operators/split_window.py.
+    # of one group. See operators/split_window.py. It decides plans only, never results.
     max_group_rows: int = 2_000_000
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 # Separator and NULL stand-in of the surrogate key text.
 KEY_SEPARATOR = "-"
-KEY_NULL = "_dbt_utils_surrogate_key_null_"
+KEY_NULL = "<null>"
 
 # Category spellings that upper-casing alone does not repair.
 SPORT_ALIASES = {"BBALL": "BASKETBALL", "VB": "VOLLEYBALL", "FB": "FOOTBALL"}
@@ -58,9 +58,42 @@ def billing_months(plan: Column) -> Column:
     return expr
 
 
+# Text of whole numbers, and of numbers at large. A plain cast to double would also take the type
+# suffixes and hexadecimal forms of the JVM ('1d', '2.5f', '0x1p3').
+WHOLE_NUMBER = r"\A\s*[+-]?[0-9]+\s*\z"
+POINT_NUMBER = r"\A\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*\z"
+NAMED_NUMBER = r"(?i)\A\s*[+-]?(nan|inf|infinity)\s*\z"
+
+
+def _not_a_number(text: Column, kind: str) -> Column:
+    return F.raise_error(F.concat(F.lit("not a number: "), text)).cast(kind)
+
+
+def whole_number(text: Column, kind: str = "bigint") -> Column:
+    """Hard cast to an integer type. Text with a point or exponent is rounded half away from zero.
+
+    The rounding goes through a decimal, so ids beyond 2^53 stay exact. Anything else fails the run.
+    """
+    rounded = F.round(text.cast("decimal(38, 10)"), 0).cast(kind)
+    return (
+        F.when(text.isNull() | text.rlike(WHOLE_NUMBER), text.cast(kind))
+        .when(text.rlike(POINT_NUMBER), rounded)
+        .otherwise(_not_a_number(text, kind))
+    )
+
+
+def _is_number(text: Column) -> Column:
+    return text.rlike(POINT_NUMBER) | text.rlike(NAMED_NUMBER)
+
+
+def number(text: Column) -> Column:
+    """Hard cast to double; text that is not a number fails the run."""
+    return F.when(text.isNull() | _is_number(text), text.cast("double")).otherwise(_not_a_number(text, "double"))
+
+
 def numeric_or_null(text: Column) -> Column:
     """Soft numeric cast for profiling raw text; staging uses the hard cast instead."""
-    return text.try_cast("double")
+    return F.when(_is_number(text), text.try_cast("double"))
 
 
 def is_missing(text: Column) -> Column:

@@ -14,7 +14,15 @@ def round_half_away(value: Column, digits: int) -> Column:
     """
     x = value.cast("double")
     scale = F.lit(float(10**digits))
-    return F.signum(x) * F.floor(F.abs(x) * scale + F.lit(0.5)) / scale
+    rounded = F.signum(x) * F.floor(F.abs(x) * scale + F.lit(0.5)) / scale
+    # From 2^52 on a double has no fraction left to round, and floor would leave the long range.
+    return F.when(F.abs(x) * scale >= F.lit(float(1 << 52)), x).otherwise(rounded)
+
+
+def steady_mean(value: Column) -> Column:
+    """Mean of doubles to twelve places, the same in whatever order rows arrive: the sum is exact."""
+    scaled = F.floor(value * F.lit(1e12) + F.lit(0.5)).cast("decimal(38, 0)")
+    return F.sum(scaled).cast("double") / F.lit(1e12) / F.count(value)
 
 
 def percent(part: Column, whole: Column, digits: int) -> Column:

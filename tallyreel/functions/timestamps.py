@@ -9,6 +9,8 @@ ALL_DIGITS = r"\A[0-9]+\z"  # \A..\z, because $ would accept a trailing newline
 # A naive cast would read '2025-09' as the first of the month and '2025-09-01 10' as ten o'clock.
 # Only a full date, alone or with at least hours and minutes, counts as a timestamp.
 FULL_SHAPE = r"\A\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}(\s*|[ T]+[0-9]{1,2}:[0-9]{1,2}.*)\z"
+# Dates may be written with slashes; behind the date they would belong to a zone name.
+SLASH_DATE = r"\A(\s*[0-9]{4})/([0-9]{1,2})/"
 # Largest second count a microsecond timestamp can hold; more is NULL instead of an aborted job.
 # Thirteen-digit milliseconds stay inside it on purpose, so that the range check can flag them.
 MAX_EPOCH_SECONDS = 9_223_372_036_853
@@ -30,7 +32,8 @@ def is_iso_utc_text(text: Column) -> Column:
 
 def parse_naive(text: Column) -> Column:
     """Soft cast of date-time text to a naive timestamp; anything incomplete is NULL."""
-    return F.when(text.rlike(FULL_SHAPE), text.try_cast("timestamp_ntz"))
+    dashed = F.when(text.contains("/"), F.regexp_replace(text, SLASH_DATE, "$1-$2-")).otherwise(text)
+    return F.when(dashed.rlike(FULL_SHAPE), dashed.try_cast("timestamp_ntz"))
 
 
 def normalize_timestamp(text: Column) -> Column:

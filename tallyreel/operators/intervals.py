@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyreel.operators.split_window import HotGroups, PriorMax, RunningSum, ordered_columns
+from tallyreel.operators.split_window import (
+    HotGroups,
+    PriorMax,
+    RunningSum,
+    carried_columns,
+    ordered_columns,
+    place_in_pieces,
+)
 
 
 def label_islands(
@@ -23,14 +30,21 @@ def label_islands(
 
     A row opens a new island when it starts after the furthest end seen so far. The furthest end,
     not the previous one, keeps nested intervals together; the strict comparison keeps touching
-    intervals together. Both passes share one order, hence one exchange and one sort.
+    intervals together. Both passes share one order, hence one exchange and one sort; rows of hot
+    groups are placed in pieces once for both.
     """
     order = [start, end, *tie_break]
-    reached = ordered_columns(df, [key], order, {"_furthest": PriorMax(end)}, hot)
     opens = F.when(F.col("_furthest").isNull() | (F.col(start) > F.col("_furthest")), 1).otherwise(0)
-    flagged = reached.withColumn("_opens", opens.cast("bigint"))
-    labelled = ordered_columns(flagged, [key], order, {label: RunningSum("_opens")}, hot)
-    return labelled.drop("_furthest", "_opens")
+
+    def labelled(part: DataFrame, add: Callable[..., DataFrame]) -> DataFrame:
+        reached = add(part, [key], order, {"_furthest": PriorMax(end)})
+        flagged = reached.withColumn("_opens", opens.cast("bigint"))
+        return add(flagged, [key], order, {label: RunningSum("_opens")}).drop("_furthest", "_opens")
+
+    if hot is None:
+        return labelled(df, ordered_columns)
+    cold, placed = place_in_pieces(df, [key], order, hot)
+    return labelled(cold, ordered_columns).unionByName(labelled(placed, carried_columns).drop("_piece"))
 
 
 def merge_intervals(

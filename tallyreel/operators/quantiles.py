@@ -24,7 +24,6 @@ def exact_quantiles(df: DataFrame, group: str, value: str, fractions: Sequence[f
         .groupBy(group, F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    cuts = [i / BUCKETS for i in range(1, BUCKETS)]
     edges = counts.groupBy(F.col(group).alias("_eg")).agg(
         F.percentile_approx("_v", [i / BUCKETS for i in range(1, BUCKETS)], 10_000).alias("_edges")
     )

@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from tallyreel.sources.workspace import ensure_checkpoint_dir
 
 
-# Keys of hot groups are broadcast up to this counted number; beyond it the planner decides.
+# Keys of hot groups are broadcast up to this counted number; beyond it the planner decides. Plan only:
+# results are the same either way.
 BROADCAST_GROUPS = 10_000
 
 
@@ -66,13 +67,16 @@ class HotGroups:
 
 
 def find_hot_groups(df: DataFrame, keys: Sequence[str], max_rows: int) -> HotGroups | None:
-    """Count rows per group and keep the groups above ``max_rows``; None when there is none."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > max_rows)
+    """Count rows per group and keep the groups above ``max_rows``; None when there is none.
+
+    Runs at once: the counts are written by one job, and read from there.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > max_rows).checkpoint()
     found = sizes.agg(F.count(F.lit(1)).alias("groups"), F.sum("_rows").alias("total")).first()
     if not found["groups"]:
         return None
-    ensure_checkpoint_dir(df.sparkSession)
-    hot_keys = sizes.select(*keys).checkpoint()
+    hot_keys = sizes.select(*keys)
     if found["groups"] <= BROADCAST_GROUPS:
         hot_keys = F.broadcast(hot_keys)
     # Twice as many pieces as strictly needed, since range bounds come from a sample.
@@ -119,7 +123,7 @@ def ordered_columns(
     if hot is None:
         return plain(df)
     cold_rows, placed = place_in_pieces(df, keys, order, hot)
-    return plain(cold_rows).unionByName(_carried(placed, df.columns, keys, order, new))
+    return plain(cold_rows).unionByName(carried_columns(placed, keys, order, new).drop("_piece"))
 
 
 def place_in_pieces(
@@ -138,14 +142,14 @@ def place_in_pieces(
     return cold_rows, ranged.withColumn("_piece", F.spark_partition_id()).checkpoint()
 
 
-def _carried(
-    placed: DataFrame,
-    columns: Sequence[str],
-    keys: Sequence[str],
-    order: Sequence[str],
-    new: Mapping[str, Spec],
+def carried_columns(
+    placed: DataFrame, keys: Sequence[str], order: Sequence[str], new: Mapping[str, Spec]
 ) -> DataFrame:
-    """Window each piece on its own, then bring in what the pieces before (or after) it know."""
+    """Window each piece on its own, then bring in what the pieces before (or after) it know.
+
+    Takes rows from ``place_in_pieces`` and keeps their ``_piece``, so one placing serves several passes.
+    """
+    columns = placed.columns
     inside = Window.partitionBy(*keys, "_piece").orderBy(*ascending(order))
     local = placed.withColumns(
         {

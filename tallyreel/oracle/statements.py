@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from tallyreel.oracle.tables import encoding, naive_time, row_key, with_tables
+from tallyreel.oracle.tables import encoding, naive_time, row_key, values, with_tables
 from tallyreel.plans.descriptions import COLUMNS
+from tallyreel.plans.marts_data import ENDED_STATES, PAID_PLANS
 from tallyreel.quality import declared as D
 from tallyreel.sources.raw import RAW_COLUMNS
 
@@ -35,13 +36,13 @@ def _text(value: str) -> str:
 
 
 # ------------------------------------------------------------------ sources and sinks
-BODIES["read_raw_csv"] = "SELECT * FROM raw_subs"
-BODIES["land_raw"] = "SELECT * FROM raw_catalog"
+BODIES["read_raw_csv"] = r"""SELECT * REPLACE ('The "' || title || '", part 1\' AS title) FROM raw_catalog"""
 BODIES["landing_report"] = " UNION ALL ".join(
     f"SELECT '{table}' AS table_name, count(*) AS row_count, {len(RAW_COLUMNS[table])} AS column_count "
     f"FROM {name}"
     for table, name in _RAW_NAMES.items()
 )
+BODIES["land_raw"] = BODIES["landing_report"]
 BODIES["load_seed"] = """
 SELECT currency, rate_to_usd, valid_from, valid_to,
        (SELECT count(*) FROM raw_subs s WHERE s.currency = rates.currency) AS subscription_rows
@@ -622,7 +623,7 @@ BODIES["profile_whitespace"] = " UNION ALL ".join(
 )
 BODIES["profile_bad_codes"] = """
 SELECT home_state, count(*) AS users FROM raw_users
-WHERE NOT regexp_full_match(home_state, '[^a-z]{2}') GROUP BY home_state"""
+WHERE length(home_state) <> 2 OR home_state <> upper(home_state) GROUP BY home_state"""
 BODIES["profile_full_row_dupes"] = """
 SELECT 'users' AS tbl, (SELECT count(*) FROM raw_users) - count(*) AS dupe_rows
 FROM (SELECT DISTINCT * FROM raw_users)
@@ -669,8 +670,8 @@ FROM spans a JOIN spans b ON a.user_id = b.user_id AND a.subscription_id < b.sub
  AND a.first_ts <= b.last_ts AND b.first_ts <= a.last_ts
 GROUP BY 1""".replace(
     "spans",
-    """(SELECT user_id, subscription_id, min(effective_at_utc) AS first_ts, max(effective_at_utc) AS last_ts,
-        bool_or(plan_type IN ('annual', 'monthly'))::int AS paid
+    f"""(SELECT user_id, subscription_id, min(effective_at_utc) AS first_ts, max(effective_at_utc) AS last_ts,
+        bool_or(plan_type IN {values(PAID_PLANS)})::int AS paid
   FROM stg_subscriptions GROUP BY user_id, subscription_id)""",
 )
 BODIES["profile_concurrent_paid"] = """
@@ -678,10 +679,10 @@ SELECT count(*) AS truly_concurrent_paid_pairs, count(DISTINCT a.user_id) AS use
 FROM spans a JOIN spans b ON a.user_id = b.user_id AND a.subscription_id < b.subscription_id
  AND a.on_from < b.on_to AND b.on_from < a.on_to""".replace(
     "spans",
-    """(SELECT user_id, subscription_id, min(effective_at_utc) FILTER (status = 'active') AS on_from,
-        coalesce(min(effective_at_utc) FILTER (status IN ('expired', 'canceled')),
+    f"""(SELECT user_id, subscription_id, min(effective_at_utc) FILTER (status = 'active') AS on_from,
+        coalesce(min(effective_at_utc) FILTER (status IN {values(ENDED_STATES)}),
                  timestamp '2099-01-01 00:00:00') AS on_to
-  FROM stg_subscriptions WHERE plan_type IN ('annual', 'monthly') GROUP BY user_id, subscription_id)""",
+  FROM stg_subscriptions WHERE plan_type IN {values(PAID_PLANS)} GROUP BY user_id, subscription_id)""",
 )
 _BEATS = f"""SELECT session_id, lag(event_at_utc) {_ORDERED} AS before,
        date_diff('second', lag(event_at_utc) {_ORDERED}, event_at_utc) AS time_delta,

@@ -5,15 +5,22 @@ from __future__ import annotations
 import re
 
 from tallyreel.config import standard_config
+from tallyreel.plans.marts_data import ENDED_STATES, PAID_PLANS
 from tallyreel.sources.sample_feed import DEVICES, FIRST_EPOCH, SPORTS, STATES
 
 _CONFIG = standard_config()
+# Fixed value: stand-in for NULL inside a surrogate key's text.
+KEY_NULL = "<null>"
 
 
 def _list(values: list[str]) -> str:
     return "[" + ", ".join(f"'{v}'" for v in values) + "]"
 
 
+def values(items) -> str:
+    return "(" + ", ".join(f"'{v}'" for v in items) + ")"
+
+
 def naive_time(text: str) -> str:
     digits = f"regexp_full_match({text}, '[0-9]+')"
     return (
@@ -31,7 +38,7 @@ def encoding(text: str) -> str:
 
 
 def row_key(*columns: str) -> str:
-    filled = [f"coalesce(({c})::varchar, '_dbt_utils_surrogate_key_null_')" for c in columns]
+    filled = [f"coalesce(({c})::varchar, '{KEY_NULL}')" for c in columns]
     return f"md5({' || chr(45) || '.join(filled)})"
 
 
@@ -55,16 +62,14 @@ SELECT p_partkey::varchar AS asset_id,
        (case p_partkey % 40 when 3 then -600 when 4 then -1 when 5 then 0
              else 600 + (p_partkey % 40) * 90 end)::varchar AS duration_seconds
 FROM part, (VALUES (0), (1)) AS copies(copy)
-WHERE p_partkey % 23 <> 0 AND (copy = 0 OR p_partkey % 29 = 0)"""
+WHERE copy = 0 OR p_partkey % 29 = 0"""
 
 CTES["feed_lines"] = """
 SELECT s, rn, max(rn) OVER (PARTITION BY s) AS last_rn, s * 1000 + rn AS e
-FROM (SELECT l_orderkey // 10 AS s,
-             row_number() OVER (PARTITION BY l_orderkey // 10
-                                ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey,
-                                         l_extendedprice, l_quantity) AS rn
-      FROM lineitem)
-WHERE rn <= 3 + (s * 13) % 45"""
+FROM (SELECT s, row_number() OVER (PARTITION BY s ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey,
+                                                          l_extendedprice, l_quantity) AS rn
+      FROM (SELECT *, (l_orderkey // 10) * 2 + if(l_orderkey % 10 > 1 + (l_orderkey // 10) % 7, 1, 0) AS s
+            FROM lineitem))"""
 
 CTES["feed_events"] = f"""
 SELECT s, e,
@@ -78,15 +83,16 @@ CTES["raw_events"] = f"""
 SELECT (e + shift)::varchar AS event_id, 's' || s AS session_id,
        (case when s % 6 = 0 then null when s % 41 = 0 then 900000 + s
              else (s * 7) % ((SELECT count(*) FROM customer) * 2 // 3) end)::varchar AS user_id,
-       ((s * 11) % ((SELECT count(*) FROM part) // 2))::varchar AS asset_id,
+       (if(s % 23 = 5, 800000 + s, (s * 11) % ((SELECT count(*) FROM part) // 2)))::varchar AS asset_id,
        event_type,
-       case e % 5 when 0 then t::varchar
-                  when 1 then strftime(make_timestamp(t * 1000000), '%Y-%m-%d %H:%M:%S')
-                  else strftime(make_timestamp(t * 1000000), '%Y-%m-%dT%H:%M:%SZ') end AS event_ts,
+       case when e % 5 = 0 then t::varchar
+            when e % 25 = 1 then strftime(make_timestamp(t * 1000000), '%Y/%m/%d %H:%M:%S')
+            when e % 5 = 1 then strftime(make_timestamp(t * 1000000), '%Y-%m-%d %H:%M:%S')
+            else strftime(make_timestamp(t * 1000000), '%Y-%m-%dT%H:%M:%SZ') end AS event_ts,
        position::varchar AS position_seconds,
        {_list(DEVICES)}[(s % 6)::int + 1] AS device_type,
        '5.' || (s % 4) AS app_version,
-       (800 + (s % 53) * 100)::varchar AS bitrate_kbps
+       (800 + (s % 53) * 100) || case s % 53 when 11 then '.5' when 12 then '.0' else '' end AS bitrate_kbps
 FROM (SELECT *, 0 AS shift FROM feed_events
       UNION ALL SELECT *, 0 FROM feed_events WHERE e % 97 = 0
       UNION ALL SELECT *, 500 FROM feed_events WHERE e % 89 = 0 AND event_type = 'heartbeat')"""
@@ -102,11 +108,11 @@ SELECT sid::varchar AS subscription_id,
            || if((sid + step) % 7 = 0, ' 10:00:00', 'T10:00:00Z') AS event_effective_ts,
        case plan_type when 'annual' then '79.99' when 'monthly' then '9.99' else '0.00' end AS mrr_amount,
        case sid % 50 when 1 then 'GBP' when 2 then 'EUR' else 'USD' end AS currency
-FROM (SELECT o_orderkey // 3 AS sid, o_orderkey % 3 AS step,
-             case when (o_orderkey // 3) % 6 = 0 then 'free_trial'
-                  when (o_orderkey // 3) % 4 = 1 then 'annual' else 'monthly' end AS plan_type
-      FROM orders)
-WHERE step <= (sid // 7) % 3 AND NOT (plan_type = 'free_trial' AND step = 2)"""
+FROM (SELECT *, case when changes < 3 AND sid % 5 = 0 then 'free_trial'
+                     when sid % 4 = 1 then 'annual' else 'monthly' end AS plan_type
+      FROM (SELECT changes, (o_orderkey // 6) * 6 + (o_orderkey % 6) // changes AS sid,
+                   (o_orderkey % 6) % changes AS step
+            FROM (SELECT o_orderkey, (o_orderkey // 6) % 3 + 1 AS changes FROM orders)))"""
 
 CTES["rates"] = """
 SELECT * FROM (VALUES ('USD', 1.00::double, date '1900-01-01', date '2999-12-31'),
@@ -171,7 +177,7 @@ SELECT c.subscription_change_key, c.subscription_id, c.user_id, plan_type, statu
            AS monthly_amount,
        if(billing_period_months = 0, 0.0::double, round(usd_billing_period_amount / billing_period_months, 2))
            AS usd_monthly_amount,
-       billing_period_months, plan_type IN ('annual', 'monthly') AS is_paid_plan,
+       billing_period_months, plan_type IN {values(PAID_PLANS)} AS is_paid_plan,
        status = 'active' AS is_active_state
 FROM stg_subscriptions c
 JOIN (SELECT subscription_change_key,
@@ -219,7 +225,7 @@ WHERE duration_seconds IS NOT NULL"""
 
 CTES["newest_change"] = "SELECT max(valid_from) AS newest FROM dim_subscription_history"
 
-CTES["dim_user"] = """
+CTES["dim_user"] = f"""
 SELECT u.user_id, signup_at_utc, signup_at_utc::date AS signup_date, home_state, acquisition_channel,
        coalesce(subscription_count, 0) AS subscription_count, first_subscription_at,
        latest_change_plan_type, latest_change_status, coalesce(has_ever_paid, false) AS has_ever_paid,
@@ -237,7 +243,7 @@ LEFT JOIN (
            arg_max(status, (valid_from, subscription_change_key)) FILTER (is_current_state)
                AS latest_change_status,
            bool_or(is_paid_plan) AS has_ever_paid,
-           bool_or(is_paid_plan AND status IN ('expired', 'canceled')) AS has_ever_churned,
+           bool_or(is_paid_plan AND status IN {values(ENDED_STATES)}) AS has_ever_churned,
            bool_or(is_current_state AND status = 'active') AS is_currently_subscribed,
            round(coalesce(sum(usd_monthly_amount) FILTER (is_current_state AND status = 'active'), 0), 2)
                AS current_usd_mrr
@@ -275,7 +281,7 @@ LEFT JOIN (
            sum(watch_minutes)::bigint AS minutes,
            sum(if(is_engaged_view, watch_minutes, 0))::bigint AS engaged_minutes,
            count(DISTINCT session_start_at_utc::date) AS days, max(f.completion_pct) AS best,
-           avg(f.completion_pct) AS mean, min(session_start_at_utc) AS first_at,
+           sum(floor(f.completion_pct * 1e12 + 0.5)::hugeint)::double / 1e12 / count(f.completion_pct) AS mean, min(session_start_at_utc) AS first_at,
            max(session_end_at_utc) AS last_at
     FROM fct_session f JOIN fct_session_engagement g ON g.session_id = f.session_id
     WHERE f.user_id IS NOT NULL GROUP BY f.user_id) m ON m.user_id = u.user_id"""

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyreel.config import EngineConfig
+from tallyreel.functions.numeric import steady_mean
 from tallyreel.operators.classify import bucketize_labels, classify_threshold
 from tallyreel.operators.spine import spine_rollup
 
@@ -50,7 +51,7 @@ def user_measures(sessions: DataFrame) -> DataFrame:
             F.sum("watch_minutes").alias("total_watch_minutes"),
             F.sum(F.when(engaged, F.col("watch_minutes")).otherwise(0)).alias("engaged_watch_minutes"),
             F.max("completion_pct").alias("best_completion_pct"),
-            F.avg("completion_pct").alias("avg_completion_pct"),
+            steady_mean(F.col("completion_pct")).alias("avg_completion_pct"),
             F.min("session_start_at_utc").alias("first_session_at"),
             F.max("session_end_at_utc").alias("last_session_at"),
             F.count_distinct(F.col("session_start_at_utc").cast("date")).alias("active_days"),

@@ -18,27 +18,27 @@ def stg_playback_events(raw: DataFrame) -> DataFrame:
     """One row per event id."""
     unique = dedupe_first(raw, ["event_id"], ["session_id", "event_ts", "position_seconds"])
     return unique.select(
-        F.col("event_id").cast("bigint").alias("event_id"),
+        C.whole_number(F.col("event_id")).alias("event_id"),
         "session_id",
-        F.col("user_id").cast("bigint").alias("user_id"),
-        F.col("asset_id").cast("bigint").alias("asset_id"),
+        C.whole_number(F.col("user_id")).alias("user_id"),
+        C.whole_number(F.col("asset_id")).alias("asset_id"),
         "event_type",
         normalize_timestamp(F.col("event_ts")).alias("event_at_utc"),
         timestamp_source_format(F.col("event_ts")).alias("event_ts_source_format"),
-        F.col("position_seconds").cast("double").alias("position_seconds"),
+        C.number(F.col("position_seconds")).alias("position_seconds"),
         "device_type",
         "app_version",
-        F.col("bitrate_kbps").cast("int").alias("bitrate_kbps"),
+        C.whole_number(F.col("bitrate_kbps"), "int").alias("bitrate_kbps"),
         F.col("user_id").isNull().alias("is_anonymous_view"),
     )
 
 
 def stg_asset_catalog(raw: DataFrame) -> DataFrame:
     """One row per asset id, title and type; the id alone is not a key."""
-    title, runtime = F.trim("title"), F.col("duration_seconds").cast("double")
+    title, runtime = F.trim("title"), C.number(F.col("duration_seconds"))
     return raw.select(
         C.surrogate_key([F.col("asset_id"), title, F.col("asset_type")]).alias("asset_key"),
-        F.col("asset_id").cast("bigint").alias("asset_id"),
+        C.whole_number(F.col("asset_id")).alias("asset_id"),
         title.alias("title"),
         "asset_type",
         C.replay_flag(F.col("title")).alias("is_replay"),
@@ -59,13 +59,13 @@ def stg_subscriptions(raw: DataFrame, rates: DataFrame) -> DataFrame:
     typed = raw.select(
         C.surrogate_key([F.col("subscription_id"), F.col("event_effective_ts")])
         .alias("subscription_change_key"),
-        F.col("subscription_id").cast("bigint").alias("subscription_id"),
-        F.col("user_id").cast("bigint").alias("user_id"),
+        C.whole_number(F.col("subscription_id")).alias("subscription_id"),
+        C.whole_number(F.col("user_id")).alias("user_id"),
         "plan_type",
         "status",
         normalize_timestamp(F.col("event_effective_ts")).alias("effective_at_utc"),
         timestamp_source_format(F.col("event_effective_ts")).alias("effective_ts_source_format"),
-        F.col("mrr_amount").cast("double").alias("billing_period_amount"),
+        C.number(F.col("mrr_amount")).alias("billing_period_amount"),
         "currency",
     ).withColumn("effective_date", F.col("effective_at_utc").cast("date"))
     rated = temporal_rate_join(typed, rates, "currency", "effective_date", ["rate_to_usd"])
@@ -82,7 +82,7 @@ def stg_subscriptions(raw: DataFrame, rates: DataFrame) -> DataFrame:
 def stg_users(raw: DataFrame) -> DataFrame:
     """One row per account."""
     return raw.select(
-        F.col("user_id").cast("bigint").alias("user_id"),
+        C.whole_number(F.col("user_id")).alias("user_id"),
         normalize_timestamp(F.col("signup_ts")).alias("signup_at_utc"),
         timestamp_source_format(F.col("signup_ts")).alias("signup_ts_source_format"),
         C.map_category(F.col("home_state"), C.STATE_ALIASES).alias("home_state"),

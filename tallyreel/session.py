@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
 
 # UTC keeps casts between zoned and naive timestamps neutral; ANSI makes a bad hard cast fail
 # the run; AQE re-plans joins by measured size (broadcast or sort-merge) and splits skewed joins.
@@ -30,6 +32,15 @@ def shuffle_partitions_for(shuffled_bytes: int, cores: int) -> int:
     return max(cores, -(-shuffled_bytes // TASK_BYTES))
 
 
+def size_shuffles(spark: SparkSession, tables: Iterable[DataFrame]) -> int:
+    """Sets how many partitions shuffles start with, from the planner's size of these tables; never fewer than now."""
+    total = sum(int(str(t._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for t in tables)
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    width = max(least, shuffle_partitions_for(total, spark.sparkContext.defaultParallelism))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(width))
+    return width
+
+
 def get_session(app_name: str = "tallyreel", master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:

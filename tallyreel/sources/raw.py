@@ -63,25 +63,35 @@ def text_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
+# A quote inside a quoted value is doubled, and a backslash is an ordinary sign.
+CSV_OPTIONS = {"header": "true", "escape": '"'}
+
+
 def read_raw_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """Header CSV with every column as text. No inference, and no multiLine, so files split."""
     return (
         spark.read.schema(text_schema(columns))
-        .option("header", True)
+        .options(**CSV_OPTIONS)
         .option("enforceSchema", False)
         .option("mode", "FAILFAST")
         .csv(path)
     )
 
 
+def write_raw_csv(df: DataFrame, path: str) -> None:
+    """What ``read_raw_csv`` reads."""
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+
+
 def read_extracts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The four CSV extracts of one folder; a missing file fails when Spark resolves its path."""
     return {t: read_raw_csv(spark, f"{folder}/{t}.csv", cols) for t, cols in RAW_COLUMNS.items()}
 
 
 def load_seed(spark: SparkSession, path: str, schema: T.StructType = RATE_SCHEMA) -> DataFrame:
-    """Typed small lookup from CSV."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """Typed small lookup from CSV; a value of the wrong type or a wrong header fails."""
+    reader = spark.read.schema(schema).options(**CSV_OPTIONS).option("enforceSchema", False)
+    return reader.option("mode", "FAILFAST").csv(path)
 
 
 def standard_rates(spark: SparkSession) -> DataFrame:
@@ -127,7 +137,7 @@ class RawTables:
 def land_raw(
     tables: Mapping[str, DataFrame], folder: str, rows_per_file: Mapping[str, int] | None = None
 ) -> dict[str, DataFrame]:
-    """Full refresh of the raw layer as Parquet files below one folder.
+    """Full refresh of the raw layer as Parquet files below one folder; tables no longer delivered go.
 
     A row limit per file keeps even a small table readable by several tasks, without a shuffle.
     """
@@ -137,9 +147,19 @@ def land_raw(
         limit = (rows_per_file or {}).get(name, 0)
         df.write.mode("overwrite").option("maxRecordsPerFile", limit).parquet(path)
         landed[name] = df.sparkSession.read.schema(df.schema).parquet(path)
+    if landed:
+        _drop_undelivered(next(iter(tables.values())).sparkSession, folder, set(RAW_COLUMNS) - set(landed))
     return landed
 
 
+def _drop_undelivered(spark: SparkSession, folder: str, names: set[str]) -> None:
+    """Removes the extracts of these names from the raw layer; other folders are not touched."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for name in names:
+        system.delete(path(f"{folder}/{name}"), True)
+
+
 def land_raw_tables(tables: Mapping[str, DataFrame], namespace: str = "raw") -> None:
     """Full refresh of the raw layer as catalog tables; tables no longer delivered are dropped.
 

@@ -1,8 +1,9 @@
 """The four raw extracts, derived from the driver's order tables.
 
 The mapping is integer arithmetic and date addition only, and plants the defects the engine has to
-handle: copied events, three timestamp encodings, orphans, impossible runtimes, odd spellings.
-Every output column is text.
+handle: copied events, timestamp encodings, orphans, impossible runtimes, odd spellings and numbers.
+Every line, order and part feeds a row; sessions and lifecycles differ in length by which rows are
+assigned to them. Every output column is text.
 """
 
 from __future__ import annotations
@@ -55,7 +56,6 @@ def raw_asset_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.concat_ws(" ", "p_name", k.cast("string"))
     df = (
         _table(spark, sf_dir, "part")
-        .filter(k % 23 != 0)
         .withColumn("replay", F.explode(copies))
         .select(
             k.alias("asset_id"),
@@ -80,9 +80,11 @@ def raw_playback_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     line_order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
     base = (
         _table(spark, sf_dir, "lineitem")
-        .select(F.expr("l_orderkey div 10").alias("s"), *line_order)
+        .withColumn("block", F.expr("l_orderkey div 10"))
+        # Each ten orders make two sessions, two to eight orders long.
+        .withColumn("s", F.col("block") * 2 + (F.col("l_orderkey") % 10 > 1 + F.col("block") % 7).cast("int"))
+        .select("s", *line_order)
         .withColumn("rn", F.row_number().over(in_session.orderBy(*line_order)).cast("bigint"))
-        .filter(rn <= 3 + (s * 13) % 45)
         .withColumn("last_rn", F.max("rn").over(in_session))
         .select(
             "s",
@@ -106,14 +108,16 @@ def raw_playback_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "e",
         F.concat(F.lit("s"), s.cast("string")).alias("session_id"),
         user.alias("user_id"),
-        ((s * 11) % F.floor(parts / 2)).alias("asset_id"),
+        F.when(s % 23 == 5, 800000 + s).otherwise((s * 11) % F.floor(parts / 2)).alias("asset_id"),
         kind.alias("event_type"),
-        F.when(e % 5 == 0, t.cast("string")).when(e % 5 == 1, stamp)
+        F.when(e % 5 == 0, t.cast("string")).when(e % 25 == 1, F.replace(stamp, F.lit("-"), F.lit("/")))
+        .when(e % 5 == 1, stamp)
         .otherwise(F.concat(spaced, F.lit("Z"))).alias("event_ts"),
         (rn * 60 + F.when(rn == last, 237).otherwise(0)).alias("position_seconds"),
         _pick(s % 6, DEVICES).alias("device_type"),
         F.concat(F.lit("5."), (s % 4).cast("string")).alias("app_version"),
-        (800 + (s % 53) * 100).alias("bitrate_kbps"),
+        F.concat((800 + (s % 53) * 100).cast("string"), F.when(s % 53 == 11, ".5").when(s % 53 == 12, ".0").otherwise(""))
+        .alias("bitrate_kbps"),
     )
     extra = F.array(
         F.lit(0).cast("bigint"),
@@ -130,12 +134,14 @@ def raw_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = _day("2025-03-01", (sid * 11) % 307 + step * (20 + sid % 60))
     df = (
         _table(spark, sf_dir, "orders")
-        .select(F.expr("o_orderkey div 3").alias("sid"), (F.col("o_orderkey") % 3).alias("step"))
+        # Each six orders make six, three or two subscriptions, so with one, two or three changes.
+        .withColumns({"block": F.expr("o_orderkey div 6"), "at": F.col("o_orderkey") % 6})
+        .withColumn("changes", F.col("block") % 3 + 1)
+        .select(F.expr("block * 6 + at div changes").alias("sid"), (F.col("at") % F.col("changes")).alias("step"), "changes")
         .withColumn(
             "plan_type",
-            F.when(sid % 6 == 0, "free_trial").when(sid % 4 == 1, "annual").otherwise("monthly"),
+            F.when((F.col("changes") < 3) & (sid % 5 == 0), "free_trial").when(sid % 4 == 1, "annual").otherwise("monthly"),
         )
-        .filter((step <= F.expr("sid div 7") % 3) & ~((plan == "free_trial") & (step == 2)))
         .select(
             sid.alias("subscription_id"),
             F.when(sid % 37 == 0, 900000 + sid).otherwise((sid * 7) % F.floor(users * 4 / 5)).alias("user_id"),

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyreel.config import standard_config
-from tallyreel.plans.build import DATA_MARTS, PRODUCT_MARTS, Models, build
+from tallyreel.plans.build import DATA_MARTS, PRODUCT_MARTS, ChecksFailed, Models, build
 from tallyreel.profiling import sequences as SEQ
 from tallyreel.quality import declared as D
 from tallyreel.quality.suite import run_declared
@@ -63,9 +63,9 @@ def test_landing_report(spark):
     raw = landed_sample(spark, SF_DIR)
     report = {r["table_name"]: (r["row_count"], r["column_count"]) for r in R.landing_report(raw.tables).collect()}
     assert report == {
-        "playback_events": (3640, 10),
-        "subscriptions": (972, 7),
-        "asset_catalog": (197, 8),
+        "playback_events": (6119, 10),
+        "subscriptions": (1500, 7),
+        "asset_catalog": (207, 8),
         "users": (150, 4),
     }
 
@@ -110,12 +110,33 @@ def test_build_writes_documented_marts(spark, tmp_path):
         written, computed = getattr(built, name), getattr(lazy, name)
         assert written.columns == computed.columns
         assert written.exceptAll(computed).count() == 0 and computed.exceptAll(written).count() == 0
+    for fact in (built.fct_session, built.fct_session_engagement):
+        plan = fact.filter("session_date = date'2025-09-03'")._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(session_date" in plan
     comments = {r["col_name"]: r["comment"] for r in spark.sql("DESCRIBE marts_data.fct_session").collect()}
-    assert comments["watch_minutes"].startswith("Distinct heartbeat positions")
+    assert comments["watch_minutes"].startswith("Number of different playhead positions")
     failing = run_declared(lambda t: getattr(built, t), [*D.DATA_CHECKS, *D.PRODUCT_CHECKS])
     assert failing.filter(F.col("failing_rows") > 0).count() == 0
 
 
+def test_a_failing_check_stops_the_build(spark, tmp_path):
+    """CSV to landed tables to checked marts; a repeated account stops it before any mart is written."""
+    source = landed_sample(spark, SF_DIR)
+    for name in R.RAW_COLUMNS:
+        R.write_raw_csv(source[name], str(tmp_path / f"{name}.csv"))
+    landed = R.land_raw(R.read_extracts(spark, str(tmp_path)), str(tmp_path / "raw"))
+    raw = R.RawTables(landed, R.standard_rates(spark), source.max_group_rows)
+    suites = {"staging": D.SEED_CHECKS}
+    built = build(raw, standard_config(), str(tmp_path / "good"), check=True, suites=suites)
+    assert built.fct_user_engagement.count() == 150
+    twice = {**landed, "users": landed["users"].union(landed["users"].limit(1))}
+    bad = R.RawTables(twice, R.standard_rates(spark), source.max_group_rows)
+    spark.sql("DROP NAMESPACE marts_product CASCADE")
+    with pytest.raises(ChecksFailed, match="user_id: unique"):
+        build(bad, standard_config(), str(tmp_path / "bad"), check=True, suites=suites)
+    assert not spark.catalog.tableExists("marts_product.fct_user_engagement")
+
+
 def test_bucketed_events_need_no_shuffle(spark, tmp_path):
     """Events written by session: ordered profiles and the session roll-up read them in place."""
     raw = landed_sample(spark, SF_DIR)
