@@ -41,6 +41,9 @@ HEADLINES = [
     "fct_user_engagement",
     "checks_source",
     "checks_staging",
+    "checks_marts_data",
+    "checks_marts_product",
+    "assert_spine_grain",
     "profile_key_uniqueness",
     "profile_overlapping_subs",
     "profile_heartbeat_cadence",
