@@ -11,14 +11,21 @@ from pyspark.sql import functions as F
 BUCKETS = 200
 
 
-def exact_quantiles(df: DataFrame, group: str, value: str, fractions: Sequence[float]) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame, group: str, value: str, fractions: Sequence[float], few_groups: bool = False
+) -> DataFrame:
     """Long result: one row per group and fraction, linear interpolation between order statistics.
 
     Values are first combined to (group, value, count). Sketched edges cut each group's distinct
     values into buckets; since any monotone cut is right, the sketch affects balance only, never
     the result. Bucket totals give each bucket its start rank. Only the few buckets that hold a
     wanted rank are sorted, each with about 1/200 of its group's distinct values.
+
+    ``few_groups`` states that the groups are a handful of labels set by the caller. Their edges and
+    starts (one row a group, two rows a group and fraction) are then sent to all tasks, so that the
+    values are not shuffled by group, where they would meet in as many tasks as there are labels.
     """
+    small = F.broadcast if few_groups else lambda table: table
     counts = (
         df.filter(F.col(value).isNotNull())
         .groupBy(group, F.col(value).cast("double").alias("_v"))
@@ -28,7 +35,7 @@ def exact_quantiles(df: DataFrame, group: str, value: str, fractions: Sequence[f
         F.percentile_approx("_v", [i / BUCKETS for i in range(1, BUCKETS)], 10_000).alias("_edges")
     )
     bucket = F.size(F.filter(F.col("_edges"), lambda edge: edge < F.col("_v")))
-    placed = counts.join(edges, F.col(group).eqNullSafe(F.col("_eg"))).select(
+    placed = counts.join(small(edges), F.col(group).eqNullSafe(F.col("_eg"))).select(
         group, "_v", "_n", bucket.alias("_b")
     )
 
@@ -54,7 +61,7 @@ def exact_quantiles(df: DataFrame, group: str, value: str, fractions: Sequence[f
     )
     inside = Window.partitionBy(group, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
-        placed.join(starts, F.col(group).eqNullSafe(F.col("_sg")) & (F.col("_b") == F.col("_sb")))
+        placed.join(small(starts), F.col(group).eqNullSafe(F.col("_sg")) & (F.col("_b") == F.col("_sb")))
         .withColumn("_before", F.col("_start") + F.sum("_n").over(inside) - F.col("_n"))
         .select(group, "_v", "_n", "_total", "_before")
     )

@@ -171,7 +171,7 @@ def quantile_report(per_entity: DataFrame, metrics: dict[str, str], fractions: S
         for column, label in metrics.items()
     ]
     long = per_entity.select(F.explode(F.array(*cells)).alias("_c")).select("_c.*")
-    return exact_quantiles(long, "metric", "v", fractions)
+    return exact_quantiles(long, "metric", "v", fractions, few_groups=True)
 
 
 def session_quantiles(events: DataFrame) -> DataFrame:

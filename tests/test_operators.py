@@ -129,6 +129,9 @@ def test_exact_quantiles(spark, n):
     values = [float((i * 7919) % 311) / 7 for i in range(n)]
     df = spark.createDataFrame([("g", v) for v in values] + [("h", 1.0), ("h", None)], "g string, v double")
     got = {(r["g"], r["quantile"]): r["value"] for r in exact_quantiles(df, "g", "v", [0, 0.25, 0.5, 1]).collect()}
+    few = exact_quantiles(df, "g", "v", [0, 0.25, 0.5, 1], few_groups=True)
+    assert {(r["g"], r["quantile"]): r["value"] for r in few.collect()} == got
+    assert "SortMergeJoin" not in few._jdf.queryExecution().executedPlan().toString()
     ordered = sorted(values)
     assert got[("g", 0.0)] == ordered[0] and got[("g", 1.0)] == ordered[-1]
     assert got[("g", 0.5)] == pytest.approx(statistics.median(values))
