@@ -26,9 +26,11 @@ from pyspark.sql import DataFrame
 from tallyreel.llm.common import RangeHash, text_chunks
 
 # Encoded pieces kept per worker in each of two generations. They save time and never change a result.
-MEMO_PIECES = 300_000
+MEMO_PIECES = 100_000
 LONG_PIECE = 512
-ROWS_AT_ONCE = 4096
+ROWS_AT_ONCE = 2048
+LONG_TEXT = 1 << 20
+SURE_START = regex.compile(r"(?<=\S) (?=\p{L})")
 LETTER, DIGIT, SPACE, OTHER = 0, 1, 2, 3
 NONE = np.int64(1) << 60
 
@@ -83,6 +85,17 @@ class Splitter:
             starts = [a + m.start() for a, t in zip(bounds.tolist(), texts, strict=False) for m in self.find(t)]
         return data, at[starts], at[bounds]
 
+    def stretches(self, text: str) -> Iterator[str]:
+        """Parts of a text that end where a piece surely begins: at one space between other sign and letter."""
+        start = 0
+        while self.find is None and len(text) - start > LONG_TEXT:
+            cut = SURE_START.search(text, start + LONG_TEXT)
+            if not cut:
+                break
+            yield text[start : cut.start()]
+            start = cut.start()
+        yield text[start:]
+
     def _starts(self, signs: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         n = len(signs)
         if not n:
@@ -140,6 +153,12 @@ class BytePairCodec:
         return self.encode_all([text])[0]
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text. A very long text goes through in stretches, so memory stays flat."""
+        if len(texts) == 1 and len(texts[0] or "") > LONG_TEXT:
+            return [b"".join(self._encode_batch([part])[0] for part in self.splitter.stretches(texts[0]))]
+        return self._encode_batch(texts)
+
+    def _encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """Distinct pieces of all texts are encoded once, then laid out in text order."""
         data, starts, texts_at = self.splitter(texts)
         if not len(starts):

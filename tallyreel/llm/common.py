@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 from tallyreel.sources.workspace import shared_folder
 
 # Text that one numpy pass holds at once; the arrays beside it take some 100 times as much.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 
 
 def bound_batches(spark: SparkSession) -> None:
     """Rows go to Python in batches of a few MB at most, whatever their number: texts differ in length by far."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 * CHUNK_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 * CHUNK_BYTES))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -40,8 +40,8 @@ from tallyreel.llm.common import CHUNK_BYTES, RangeHash, flat_bytes, settle, tex
 SPAN, GRAM = 100, 32
 REACH = SPAN - GRAM  # how far a string that holds the gram starts before it
 WIDTH = SPAN + REACH
-PART_ROWS = 8_000
-HOT_ROWS = 12_000
+PART_ROWS = 5_000
+HOT_ROWS = 8_000
 # Ids sent to all tasks while their counted number is at most this; beyond it the join is shuffled.
 BROADCAST_IDS = 2_000_000
 PLACE_BITS = 26
