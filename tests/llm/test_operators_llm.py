@@ -289,6 +289,16 @@ def test_bpe_forgets_without_changing(monkeypatch, encoder):
         assert np.frombuffer(codec.encode(text), "<u4").tolist() == encoder.encode_ordinary(text)
 
 
+def test_very_long_texts_go_through_in_stretches(monkeypatch, encoder):
+    monkeypatch.setattr(bpe, "LONG_TEXT", 50)
+    codec = bpe.BytePairCodec(bpe.read_ranks(public_tokenizers.path(RANKS)), public_tokenizers.PATTERN)
+    text = "  it's 12 o'clock \n\n and  all's well! é" * 40 + "x" * 300 + " end"
+    assert np.frombuffer(codec.encode(text), "<u4").tolist() == encoder.encode_ordinary(text)
+    whole = near_dedup.shingles(pa.array([text * 30]))
+    monkeypatch.setattr(near_dedup, "CHUNK_BYTES", 64)
+    assert all((a == b).all() for a, b in zip(whole, near_dedup.shingles(pa.array([text * 30])), strict=True))
+
+
 def test_bpe_takes_other_patterns():
     codec = bpe.BytePairCodec(bpe.read_ranks(public_tokenizers.path(RANKS)), r"\w+|\W+")
     assert codec.decode(codec.encode("one two, thrée")) == "one two, thrée".encode()
