@@ -34,6 +34,7 @@ PER_CLASS = 6_000
 POOL = 8_000
 ROUNDS = 4
 PER_ROUND = 400
+CONFIDENT = 3.0  # log-odds of a pseudo-label
 META_SLOTS = 32
 THRESHOLD = 0.5
 
@@ -183,17 +184,26 @@ def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, pool_text: np.nd
         "text": (text[fit], y[fit]),
         "meta": (meta[fit], y[fit]),
     }
+    held = fold if fold.any() and 0 < y[fold].mean() < 1 else np.ones(len(y), bool)
+
+    def confidence(model: Logistic, labelled: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """Calibrated on rows kept out of training, so that a view without a clue is never confident."""
+        slope, intercept = _plain_fit(model.logit(labelled[held])[:, None], y[held])
+        return slope * model.logit(x) + intercept
+
     left = np.arange(len(pool_text))
     by_text, by_meta = Logistic().fit(*sets["text"]), Logistic().fit(*sets["meta"])
     for _ in range(ROUNDS):
         if not len(left):
             break
         taken: set[int] = set()
-        for teacher, seen, pupil, shown in ((by_text, pool_text, "meta", pool_meta), (by_meta, pool_meta, "text", pool_text)):
-            sure = teacher.logit(seen[left])
+        for sure, pupil, shown in (
+            (confidence(by_text, text, pool_text[left]), "meta", pool_meta),
+            (confidence(by_meta, meta, pool_meta[left]), "text", pool_text),
+        ):
             order = np.argsort(sure, kind="stable")
-            good = [i for i in order[::-1][:PER_ROUND] if sure[i] > 3.0]
-            bad = [i for i in order[:PER_ROUND] if sure[i] < -3.0]
+            good = [i for i in order[::-1][:PER_ROUND] if sure[i] > CONFIDENT]
+            bad = [i for i in order[:PER_ROUND] if sure[i] < -CONFIDENT]
             chosen = np.array(good + bad, np.int64)
             if len(chosen):
                 x, labels = sets[pupil]
@@ -204,7 +214,6 @@ def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, pool_text: np.nd
                 taken.update(chosen.tolist())
         by_text, by_meta = Logistic().fit(*sets["text"]), Logistic().fit(*sets["meta"])
         left = np.delete(left, sorted(taken))
-    held = fold if fold.any() and 0 < y[fold].mean() < 1 else np.ones(len(y), bool)
     a, b = _plain_fit(by_text.logit(text[held])[:, None], y[held])
     c, d = _plain_fit(by_meta.logit(meta[held])[:, None], y[held])
     mixed = np.stack([a * by_text.logit(text[held]) + b, c * by_meta.logit(meta[held]) + d], axis=1)
