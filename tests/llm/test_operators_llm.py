@@ -133,7 +133,8 @@ def jaccard(a, b):
         return Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else Counter()
 
     a, b = bag(a), bag(b)
-    return sum((a & b).values()) / max(1, sum((a | b).values()))
+    weight = lambda counts: sum(1 + np.log(n) for n in counts.values())
+    return weight(a & b) / max(1, weight(a | b))
 
 
 def test_near_classes_equal_brute_force(spark):
@@ -144,6 +145,8 @@ def test_near_classes_equal_brute_force(spark):
         texts.append(" ".join([*w[:-3], "p", "q", f"r{i}"]))
         texts.append(" ".join(x if n % 6 else f"z{n}" for n, x in enumerate(w)))
     texts += [texts[0], texts[0], texts[3], "one two three", "One  two three", "", "", None, None, "solo"]
+    # Long runs of one phrase do not make different texts alike.
+    texts += [words(rng, 60) + " same two" * 400 for _ in range(5)]
     family = words(rng, 200).split()
     texts += [" ".join([*family[:-2], f"f{i}", f"g{i}"]) for i in range(60)]
     docs = frame(spark, texts)
