@@ -403,6 +403,7 @@ def _(m, sf_dir):
 
 _EVENT_KEYS = [c for c in R.RAW_COLUMNS["playback_events"] if c != "event_id"]
 
+# The labels of keys and relations in these reports.
 PLANS["profile_key_uniqueness"] = lambda m, _: K.key_uniqueness(
     [
         ("playback_events.event_id", _events(m), ["event_id"]),

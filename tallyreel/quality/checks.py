@@ -61,6 +61,7 @@ def check_relationships(child: DataFrame, column: str, parent: DataFrame, parent
 # ------------------------------------------------------------------ checks of whole tables
 
 
+# Result columns of the whole-table checks below.
 def assert_collapse_columns_agree(catalog: DataFrame) -> DataFrame:
     """Rows of one asset id must agree on every column the collapsed table carries.
 

@@ -53,6 +53,7 @@ class Declared:
         return sum(len(p) for p in parts)
 
 
+# Which columns of which table each check covers, here and below.
 def source_checks(channels: list[str] = CHANNELS) -> list[Declared]:
     return [
         Declared(
