@@ -2,8 +2,8 @@
 
 A vector is described by the order of its nearest pivots. Its posting goes into the inverted files
 of its first ``posted`` pivots; a query reads the files of its first ``probed`` pivots, ranks what it
-finds there by the footrule distance of the pivot orders, and reranks the best ``reranked`` of each
-file by exact cosine in double precision.
+finds there by the footrule distance of the pivot orders, and reranks the better half of each
+file (at least 1,000) by exact cosine in double precision.
 
 Equal vectors are one index entry that names its smallest ids, so groups of copies cost one posting.
 Pivots are the index entries with the smallest hashes, about twice the square root of the number of
@@ -33,10 +33,11 @@ from tallyreel.llm.common import settle
 
 MAX_PIVOTS = 4096
 PIVOTS_PER_ROOT = 2.0
-PERMUTATION = 24
-POSTED = 6
-PROBED = 12
-RERANKED = 200
+PERMUTATION = 32
+POSTED = 16
+PROBED = 32
+# Entries of a file that are reranked: this share, and at least so many.
+RERANK_SHARE, RERANK_LEAST = 0.5, 1000
 FILE_ROWS = 8192
 QUERY_BLOCK = 64
 
@@ -123,12 +124,13 @@ def _search(key, asked: pd.DataFrame, file: pd.DataFrame, pivots: int, k: int) -
     file = file.sort_values("entry", ignore_index=True)
     orders, vectors = np.stack(file["order"].to_numpy()), np.stack(file["vector"].to_numpy()).astype(np.float64)
     names = file["entry"].to_numpy()
+    reranked = max(RERANK_LEAST, math.ceil(RERANK_SHARE * len(file)))
     found = []
     for start in range(0, len(asked), QUERY_BLOCK):
         block = asked.iloc[start : start + QUERY_BLOCK]
         distances = footrule(np.stack(block["order"].to_numpy()), orders, pivots)
         for row, (query, vector) in enumerate(zip(block["entry"], block["vector"], strict=True)):
-            best = np.argsort(distances[row], kind="stable")[:RERANKED]
+            best = np.argsort(distances[row], kind="stable")[:reranked]
             scores = cosine(np.asarray(vector, np.float64), vectors[best])
             top = np.lexsort((names[best], -scores))[: k + 1]
             found.append(pd.DataFrame({"query": query, "entry": names[best][top], "score": scores[top]}))
