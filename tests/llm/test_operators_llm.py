@@ -166,6 +166,42 @@ def test_near_classes_equal_brute_force(spark):
     assert near_dedup.near_classes(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("block", [64, 20])
+def test_near_classes_of_large_mixed_buckets(spark, monkeypatch, block):
+    """A star of 500 copies of one text, and a family just under the limit that hides pairs above it."""
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    rng = random.Random(21)
+
+    def edited(text, n):
+        w = text.split()
+        for at in rng.sample(range(0, len(w), 10), n):
+            w[at + rng.randrange(5)] = f"e{rng.randrange(10**9)}"
+        return " ".join(w)
+
+    base, template = words(rng, 300, 10**6), words(rng, 300, 10**6)
+    texts = [base] + [edited(base, 5) for _ in range(500)]
+    for _ in range(80):
+        one = edited(template, 5)
+        texts += [one, edited(one, 6)]
+    rng.shuffle(texts)
+    held = {}
+    for i, text in enumerate(texts):
+        w = text.split()
+        for n in range(len(w) - 4):
+            held.setdefault(tuple(w[n : n + 5]), []).append(i)
+    share = np.zeros((len(texts), len(texts)))
+    for who in held.values():
+        share[np.ix_(who, who)] += 1
+    alike = share / (share.diagonal()[:, None] + share.diagonal() - share) >= 0.8
+    root = np.arange(len(texts))
+    while (low := np.where(alike, root, len(texts)).min(axis=1)).tolist() != root.tolist():
+        root = low
+    # Short texts beside them keep every shingle below a tenth of all documents.
+    docs = frame(spark, [*texts, *(f"alone{i}" for i in range(6000))])
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.near_classes(docs).collect() if r["doc_id"] < len(texts)}
+    assert got == dict(enumerate(root.tolist()))
+
+
 def test_frequent_shingles_are_counted_exactly(spark):
     rng = random.Random(9)
     common = "this very line stands everywhere you look"
