@@ -21,8 +21,10 @@ are told apart by where they start, which leaves them a longer common core, and
 their own. So no part grows with the corpus.
 
 Rows: NULL text counts as empty; texts below 100 bytes lose nothing. Of equal texts all but the smallest
-doc_id go whole. A doc_id names one document: rows that repeat it hold one start each, so equal rows
-do not erase each other; spans found in rows with one id apply to all of them. NULL doc_ids sort lowest.
+doc_id go whole. Rows that repeat both doc_id and text hold one start each, so equal rows do not erase
+each other. Where a doc_id, or NULL, stands with different texts, each text is a document of its own: the key
+of a document is (doc_id, sub), where ``sub`` is the digest of the text in that case and empty otherwise.
+NULL doc_ids sort lowest, texts of one id by their digest.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyreel.llm.common import CHUNK_BYTES, RangeHash, flat_bytes, settle, text_chunks
@@ -44,6 +46,8 @@ PART_ROWS = 5_000
 HOT_ROWS = 8_000
 # Ids sent to all tasks while their counted number is at most this; beyond it the join is shuffled.
 BROADCAST_IDS = 2_000_000
+# Stands for a NULL doc_id.
+NO_ID = -(1 << 62)
 PLACE_BITS = 26
 # A place packs the gram's position (above bit 14) with the first and last start (0 to REACH) that stay inside the text.
 LO, HI = 1 << 7, 1 << 14
@@ -86,7 +90,7 @@ def _pieces(part: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.n
 
 
 def phrases(texts: DataFrame) -> DataFrame:
-    """(gram, phrase, doc_id, place): hashes of each trigger's gram and phrase (NULL where the text ends first)."""
+    """(gram, phrase, doc_id, sub, place): hashes of each trigger's gram and phrase (NULL where the text ends first)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_chunks(batches, "text"):
@@ -110,18 +114,19 @@ def phrases(texts: DataFrame) -> DataFrame:
                         pa.array(gram[seen]),
                         pa.array(span[seen], mask=~whole[seen]),
                         pa.array(ids[rows[row]][seen], pa.int64()),
+                        part.column("sub").take(pa.array(rows[row][seen])),
                         pa.array((inner * HI + lo * LO + hi)[seen]),
                     ],
-                    names=["gram", "phrase", "doc_id", "place"],
+                    names=["gram", "phrase", "doc_id", "sub", "place"],
                 )
 
-    return texts.mapInArrow(run, "gram long, phrase long, doc_id long, place long")
+    return texts.mapInArrow(run, "gram long, phrase long, doc_id long, sub binary, place long")
 
 
 def entry_bytes(active: DataFrame, texts: DataFrame) -> DataFrame:
-    """(key, first, last, doc_id, at, lo, hi, entry): the 168 bytes of each dictionary entry, zeros beyond its text."""
-    wanted = active.groupBy("doc_id").agg(F.collect_list(F.struct("gram", "place")).alias("marks"))
-    joined = texts.join(wanted, "doc_id").select("doc_id", "text", "marks")
+    """(key, first, last, doc_id, sub, at, lo, hi, entry): the 168 bytes of each dictionary entry, zeros beyond its text."""
+    wanted = active.groupBy("doc_id", "sub").agg(F.collect_list(F.struct("gram", "place")).alias("marks"))
+    joined = texts.join(wanted, ["doc_id", "sub"]).select("doc_id", "sub", "text", "marks")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_chunks(batches, "text"):
@@ -146,18 +151,19 @@ def entry_bytes(active: DataFrame, texts: DataFrame) -> DataFrame:
                         pa.array(np.zeros(n, np.int32)),
                         pa.array(np.full(n, REACH, np.int32)),
                         part.column("doc_id").take(pa.array(row[cut])),
+                        part.column("sub").take(pa.array(row[cut])),
                         pa.array(at[cut]),
                         pa.array(lo[cut].astype(np.int32)),
                         pa.array(hi[cut].astype(np.int32)),
                         _rows_of(entry),
                     ],
-                    names=["key", "first", "last", "doc_id", "at", "lo", "hi", "entry"],
+                    names=["key", "first", "last", "doc_id", "sub", "at", "lo", "hi", "entry"],
                 )
 
     return joined.mapInArrow(run, ENTRIES)
 
 
-ENTRIES = "key long, first int, last int, doc_id long, at long, lo int, hi int, entry binary"
+ENTRIES = "key long, first int, last int, doc_id long, sub binary, at long, lo int, hi int, entry binary"
 
 
 def _rows_of(entries: np.ndarray) -> pa.Array:
@@ -217,56 +223,86 @@ def later_starts(ranks: np.ndarray, docs: np.ndarray, at: np.ndarray, usable: np
     return out
 
 
-SPANS = "doc_id long, begin long, end long"
+SPANS = "doc_id long, sub binary, begin long, end long"
+
+
+def _documents(table: pa.Table) -> np.ndarray:
+    """The place of each row's document in the order of (doc_id, sub)."""
+    ids = np.unique(table.column("doc_id").to_numpy(), return_inverse=True)[1]
+    subs = np.array(table.column("sub").to_pylist(), object)
+    return ids * np.int64(len(subs)) + np.unique(subs, return_inverse=True)[1]
 
 
 def _judge_part(table: pa.Table) -> pa.Table:
     table = table.combine_chunks()
     entries = flat_bytes(table.column("entry").combine_chunks())[0].reshape(-1, WIDTH)
-    docs, at = (table.column(c).to_numpy() for c in ("doc_id", "at"))
+    at = table.column("at").to_numpy()
     first, last, lo, hi = (table.column(c).to_numpy() for c in ("first", "last", "lo", "hi"))
     shifts = np.arange(REACH + 1)
     usable = (shifts >= np.maximum(first, lo)[:, None]) & (shifts <= np.minimum(last, hi)[:, None])
-    later = later_starts(suffix_ranks(entries), docs, at, usable)
+    later = later_starts(suffix_ranks(entries), _documents(table), at, usable)
     edge = np.diff(later.astype(np.int8), axis=1, prepend=0, append=0)
     row, begin = np.nonzero(edge == 1)
     end = np.nonzero(edge == -1)[1] - 1
     start = at[row] - REACH
-    return pa.table({"doc_id": pa.array(docs[row]), "begin": pa.array(start + begin), "end": pa.array(start + end + SPAN)})
+    ids, subs = (table.column(c).take(pa.array(row)) for c in ("doc_id", "sub"))
+    return pa.table({"doc_id": ids, "sub": subs, "begin": pa.array(start + begin), "end": pa.array(start + end + SPAN)})
 
 
 def only(docs: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
     """Rows of ``docs`` (not) in ``ids``; a counted, small set of ids is sent to all tasks, so no text is shuffled."""
     small = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(ids) if small else ids, "doc_id", how)
-
-
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, begin, end): byte ranges to remove; they may overlap."""
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62))).alias("doc_id"), "text")
+    return docs.join(F.broadcast(ids) if small else ids, ids.columns, how)
+
+
+def keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with the key of each row's document, (_key, _sub), and (doc_id, sub, size, digest) of all rows."""
+    rows = docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
+    digest = F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    digests = settle(rows.select("_key", size.alias("size"), digest.alias("digest")))
+    several = digests.filter(F.col("_key") != NO_ID).groupBy("_key").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi"))
+    several = settle(several.filter("lo <> hi").select("_key", F.lit(True).alias("_several")))
+
+    def named(rows: DataFrame, digest: Column) -> DataFrame:
+        small = several.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+        if not several.take(1):
+            rows = rows.withColumn("_several", F.lit(False))
+        else:
+            rows = rows.join(F.broadcast(several) if small else several, "_key", "left")
+        own = F.coalesce("_several", F.lit(False)) | (F.col("_key") == NO_ID)
+        return rows.withColumn("_sub", F.when(own, digest).otherwise(F.lit(b""))).drop("_several")
+
+    digests = named(digests, F.col("digest")).select(F.col("_key").alias("doc_id"), F.col("_sub").alias("sub"), "size", "digest")
+    return named(rows, digest), digests
+
+
+def repeated_spans(docs: DataFrame, digests: DataFrame) -> DataFrame:
+    """(doc_id, sub, begin, end): byte ranges to remove; they may overlap. Takes what ``keyed`` returns."""
+    rows = docs.select(F.col("_key").alias("doc_id"), F.col("_sub").alias("sub"), "text")
     rows = rows.filter(F.octet_length("text") >= SPAN)
-    digests = settle(rows.select("doc_id", F.octet_length("text").cast("long").alias("size"), F.unhex(F.md5(F.col("text").cast("binary"))).alias("digest")))
+    digests = digests.filter(F.col("size") >= SPAN)
     firsts = digests.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
-    copies = settle(digests.join(firsts, "digest").filter("doc_id > first").select("doc_id", "size"))
-    texts = only(rows, copies.select("doc_id").distinct(), "left_anti")
+    copies = settle(digests.join(firsts, "digest").filter("doc_id > first").select("doc_id", "sub", "size"))
+    texts = only(rows, copies.select("doc_id", "sub").distinct(), "left_anti")
 
     parsed = phrases(texts)
     repeated = settle(parsed.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram"))
     found = settle(parsed.join(repeated, "gram"))
-    entries = found.filter("phrase is not null").groupBy("gram", "phrase").agg(F.min(F.struct("doc_id", "place")).alias("first"))
+    entries = found.filter("phrase is not null").groupBy("gram", "phrase").agg(F.min(F.struct("doc_id", "sub", "place")).alias("first"))
     entries = settle(entries)
-    covered = found.join(entries, ["gram", "phrase"]).filter(F.struct("doc_id", "place") > F.col("first"))
+    covered = found.join(entries, ["gram", "phrase"]).filter(F.struct("doc_id", "sub", "place") > F.col("first"))
     at = F.shiftright("place", 14)
-    covered = covered.select("doc_id", (at - REACH).alias("begin"), (at + SPAN).alias("end"))
+    covered = covered.select("doc_id", "sub", (at - REACH).alias("begin"), (at + SPAN).alias("end"))
 
-    active = entries.select("gram", "first.doc_id", "first.place").union(
-        found.filter("phrase is null").select("gram", "doc_id", "place").distinct()
+    active = entries.select("gram", "first.doc_id", "first.sub", "first.place").union(
+        found.filter("phrase is null").select("gram", "doc_id", "sub", "place").distinct()
     )
     shared = active.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
     active = settle(active.join(shared, "gram"))
-    open_entries = settle(entry_bytes(active, only(texts, active.select("doc_id").distinct())))
+    open_entries = settle(entry_bytes(active, only(texts, active.select("doc_id", "sub").distinct())))
 
-    spans = [covered, copies.select("doc_id", F.lit(0).cast("long").alias("begin"), F.col("size").alias("end"))]
+    spans = [covered, copies.select("doc_id", "sub", F.lit(0).cast("long").alias("begin"), F.col("size").alias("end"))]
     while True:
         sized = settle(open_entries.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"))
         shape = sized.agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
@@ -281,14 +317,14 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         hot = open_entries.join(sized.filter(F.col("n") > HOT_ROWS).select("key"), "key").select(*open_entries.columns)
         # With one start left, the core is the string itself: the first place stays, all others go.
         single = hot.filter("first = last")
-        least = single.groupBy("key").agg(F.min(F.struct("doc_id", "at")).alias("least"))
-        single = single.join(least, "key").filter(F.struct("doc_id", "at") > F.col("least"))
+        least = single.groupBy("key").agg(F.min(F.struct("doc_id", "sub", "at")).alias("least"))
+        single = single.join(least, "key").filter(F.struct("doc_id", "sub", "at") > F.col("least"))
         begin = F.col("at") - REACH + F.col("first")
-        spans.append(single.select("doc_id", begin.alias("begin"), (begin + SPAN).alias("end")))
+        spans.append(single.select("doc_id", "sub", begin.alias("begin"), (begin + SPAN).alias("end")))
         open_entries = settle(narrower(hot.filter("first < last")))
     out = spans[0]
     for more in spans[1:]:
-        out = out.union(more.select("doc_id", F.col("begin").cast("long"), F.col("end").cast("long")))
+        out = out.union(more.select("doc_id", "sub", F.col("begin").cast("long"), F.col("end").cast("long")))
     return out
 
 
@@ -308,16 +344,16 @@ def _cut(raw: bytes, spans: list[dict] | None) -> tuple[bytes, int, int]:
 
 def _with_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows of ``docs`` that lose nothing, and the others with their ``_spans``."""
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62)))
-    per_doc = repeated_spans(docs).distinct().groupBy("doc_id").agg(F.collect_list(F.struct("begin", "end")).alias("_spans"))
-    per_doc = settle(per_doc.withColumnRenamed("doc_id", "_key"))
-    ids = per_doc.select("_key")
+    rows, digests = keyed(docs)
+    spans = repeated_spans(rows, digests).distinct().groupBy("doc_id", "sub")
+    per_doc = spans.agg(F.collect_list(F.struct("begin", "end")).alias("_spans"))
+    per_doc = settle(per_doc.withColumnsRenamed({"doc_id": "_key", "sub": "_sub"}))
+    ids = per_doc.select("_key", "_sub")
     small = per_doc.count() <= BROADCAST_IDS
-    keyed = docs.withColumn("_key", key)
     known = F.broadcast(ids) if small else ids
-    untouched = keyed.join(known, "_key", "left_anti").drop("_key")
-    touched = keyed.join(known, "_key", "left_semi") if small else keyed
-    return untouched, touched.join(per_doc, "_key").drop("_key")
+    untouched = rows.join(known, ["_key", "_sub"], "left_anti").drop("_key", "_sub")
+    touched = rows.join(known, ["_key", "_sub"], "left_semi") if small else rows
+    return untouched, touched.join(per_doc, ["_key", "_sub"]).drop("_key", "_sub")
 
 
 def removal_digests(docs: DataFrame) -> DataFrame:

@@ -568,6 +568,26 @@ def test_repeated_rows_do_not_erase_each_other(spark):
     assert len(out) == 4 and all(r["n_removed"] == 0 for r in out)
 
 
+def test_texts_that_share_an_id_or_have_none_are_documents_of_their_own(spark):
+    rng = random.Random(16)
+    passage = words(rng, 30)
+    # No id: a passage within one text twice, and another text that it does not touch.
+    twice, other = f"{passage} and {passage}", words(rng, 120)
+    # An id with a copy and with a longer and a shorter other text; the passage stands in the longer one.
+    source, mixed = words(rng, 60), words(rng, 50) + " " + passage + words(rng, 400)
+    rows = [(None, twice), (None, other), (None, other), (3, source), (9, source), (9, mixed), (9, "short " + words(rng, 16)), (9, "tiny")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["kept_sha256"]) for r in repeats.removal_digests(docs).collect())
+    gone = {}
+    for (_, text), (raw, mask) in zip(rows, brute_removal([t for _, t in rows]), strict=True):
+        gone.setdefault(text, []).append((raw, mask))
+    want = Counter()
+    for i, (doc_id, text) in enumerate(rows):
+        raw, mask = gone[text][1 if i == 4 else 0]  # of equal rows without an id none erases the other
+        want[doc_id, len(raw), int(mask.sum()), hashlib.sha256(np.frombuffer(raw, np.uint8)[~mask].tobytes()).hexdigest()] += 1
+    assert got == want and sum(n for (_, _, removed, _), n in got.items() if removed) == 3
+
+
 def test_suffix_ranks_are_byte_order():
     rng = np.random.default_rng(3)
     entries = rng.integers(97, 99, (40, repeats.WIDTH)).astype(np.uint8)
