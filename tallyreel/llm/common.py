@@ -90,6 +90,29 @@ def connected_classes(edges: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node"), F.col("b").alias("class_id")).union(roots)
 
 
+def tree_sum(vectors: DataFrame, dtype: str, slices: int, fan: int = 8) -> DataFrame:
+    """(part, data): the element-wise sum of the vectors (part, slice, data) of each part.
+
+    ``slice`` counts from 0 to ``slices`` - 1 and several rows may share one. Each round adds the vectors of
+    ``fan`` neighbouring slices, so no task holds more of them, whatever their number.
+    """
+
+    def add(group: pa.Table) -> pa.Table:
+        total = np.zeros(0, dtype)
+        for chunk in group.column("data").chunks:
+            for i in range(len(chunk)):
+                one = np.frombuffer(chunk[i].as_buffer(), dtype)
+                total = total + one if len(total) else one.copy()
+        return pa.table({"part": group.column("part")[:1], "slice": group.column("slice")[:1], "data": pa.array([total.tobytes()], pa.binary())})
+
+    while True:
+        summed = vectors.withColumn("slice", F.floor(F.col("slice") / fan).cast("int"))
+        vectors = summed.groupBy("part", "slice").applyInArrow(add, "part int, slice int, data binary")
+        slices = -(-slices // fan)
+        if slices <= 1:
+            return vectors.select("part", "data")
+
+
 # Odd multipliers of two rolling hashes modulo 2^64, and random values for the 256 bytes.
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _BYTE_VALUES = np.random.default_rng(7).integers(1, 1 << 63, (2, 256), np.uint64)
