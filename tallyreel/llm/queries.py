@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyreel.llm import bpe, cotraining, decontaminate, hilbert, language_id, near_dedup, permutation_index, quotes, repeats, token_scan, whitening
+from tallyreel.llm import bpe, cotraining, decontaminate, hilbert, language_id, license_scan, near_dedup, permutation_index
+from tallyreel.llm import quotes, repeats, token_scan, whitening
 from tallyreel.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -65,6 +66,10 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.removal_digests(table(spark, sf_dir, "documents"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_labels(license_scan.find_licenses(table(spark, sf_dir, "documents")))
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
     return whitening.whiten(vectors)
@@ -83,12 +88,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_hilbert_shards,
         op9_benchmark_decontamination,
         op10_suffix_array_dedup,
+        op11_license_scan,
         op13_embedding_whitening,
     )
 }
 
 # DuckDB SQL for the queries that SQL can express. The others are held against brute force in the tests.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op11_license_scan": license_scan.scan_sql()}
 
 ORACLE["op7_chat_formatting"] = r"""
 WITH RECURSIVE messages AS (SELECT row_number() OVER () AS m, conv_id, turn, role, text FROM conversations),
