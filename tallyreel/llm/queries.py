@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyreel.llm import bpe, cotraining, decontaminate, hilbert, language_id, license_scan, near_dedup, permutation_index
-from tallyreel.llm import quotes, repeats, token_scan, whitening
+from tallyreel.llm import quotes, repeats, token_align, token_scan, whitening
 from tallyreel.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
+BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 # Free in the rank file, and the public vocabulary's end-of-document id.
 END_OF_DOCUMENT = 50256
 
@@ -70,6 +71,11 @@ def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_labels(license_scan.find_licenses(table(spark, sf_dir, "documents")))
 
 
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return token_align.align(docs, public_tokenizers.path(BYTE_LEVEL), public_tokenizers.path(PIECES))
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
     return whitening.whiten(vectors)
@@ -89,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_benchmark_decontamination,
         op10_suffix_array_dedup,
         op11_license_scan,
+        op12_cross_tokenizer_alignment,
         op13_embedding_whitening,
     )
 }
