@@ -95,8 +95,9 @@ def _written_csv(m: Models, df: DataFrame, name: str) -> str:
 
 @plan("read_raw_csv")
 def _(m, sf_dir):
-    """The catalog written as CSV, with quotes, commas and backslashes in its titles, and read back as text."""
-    awkward = F.concat(F.lit('The "'), F.col("title"), F.lit('", part 1\\'))
+    """The catalog written as CSV and read back as text; titles hold quotes, commas, backslashes and, in part, line breaks."""
+    broken = F.when(F.col("sport") == "FB", "\r\n").when(F.col("asset_type") == "LIVE", "\n").otherwise(" ")
+    awkward = F.concat(F.lit('The "'), F.col("title"), F.lit('",'), broken, F.lit("part 1\\"))
     path = _written_csv(m, _catalog(m).withColumn("title", awkward), "asset_catalog_quoted")
     return R.read_raw_csv(_spark(m), path, R.RAW_COLUMNS["asset_catalog"])
 

@@ -36,7 +36,9 @@ def _text(value: str) -> str:
 
 
 # ------------------------------------------------------------------ sources and sinks
-BODIES["read_raw_csv"] = r"""SELECT * REPLACE ('The "' || title || '", part 1\' AS title) FROM raw_catalog"""
+BODIES["read_raw_csv"] = r"""SELECT * REPLACE (
+    'The "' || title || '",' || CASE WHEN sport = 'FB' THEN chr(13) || chr(10) WHEN asset_type = 'LIVE' THEN chr(10) ELSE ' ' END
+    || 'part 1\' AS title) FROM raw_catalog"""
 BODIES["landing_report"] = " UNION ALL ".join(
     f"SELECT '{table}' AS table_name, count(*) AS row_count, {len(RAW_COLUMNS[table])} AS column_count "
     f"FROM {name}"

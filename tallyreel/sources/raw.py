@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyreel.operators.split_window import HotGroups, find_hot_groups
+from tallyreel.sources.quoted_lines import read_records
 
 # The four extracts and their columns.
 RAW_COLUMNS = {
@@ -68,19 +69,27 @@ CSV_OPTIONS = {"header": "true", "escape": '"'}
 
 
 def read_raw_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Header CSV with every column as text. No inference, and no multiLine, so files split."""
-    return (
-        spark.read.schema(text_schema(columns))
-        .options(**CSV_OPTIONS)
-        .option("enforceSchema", False)
-        .option("mode", "FAILFAST")
-        .csv(path)
-    )
+    """Header CSV with every column as text, without inference.
+
+    Values may hold line breaks inside quotes, and files split all the same. One scan looks for
+    them; where there are none, the plain line reader does the rest.
+    """
+    schema = text_schema(columns)
+    found = read_records(spark, path)
+    if found is None:
+        reader = spark.read.schema(schema).options(**CSV_OPTIONS).option("enforceSchema", False)
+        return reader.option("mode", "FAILFAST").csv(path)
+    parsed = found.withColumn("row", F.from_csv("record", schema.simpleString(), {"escape": '"', "mode": "FAILFAST"}))
+    as_declared = reduce(lambda x, y: x & y, [F.col("row")[c].eqNullSafe(F.lit(c)) for c in columns])
+    wrong = F.raise_error(F.concat(F.lit("CSV header does not conform to the schema: "), F.col("record"))).cast("boolean")
+    rows = parsed.filter(F.when(~F.col("header"), True).when(as_declared, False).otherwise(wrong))
+    return rows.select(*[F.col("row")[c].alias(c) for c in columns])
 
 
 def write_raw_csv(df: DataFrame, path: str) -> None:
-    """What ``read_raw_csv`` reads."""
-    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    """What ``read_raw_csv`` reads; blanks at the ends of values stay."""
+    keep = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    df.write.mode("overwrite").options(**CSV_OPTIONS, **keep).csv(path)
 
 
 def read_extracts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -89,8 +98,8 @@ def read_extracts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 def load_seed(spark: SparkSession, path: str, schema: T.StructType = RATE_SCHEMA) -> DataFrame:
-    """Typed small lookup from CSV; a value of the wrong type or a wrong header fails."""
-    reader = spark.read.schema(schema).options(**CSV_OPTIONS).option("enforceSchema", False)
+    """Typed small lookup from CSV; a value of the wrong type or a wrong header fails. A file is read whole, by one task."""
+    reader = spark.read.schema(schema).options(**CSV_OPTIONS, multiLine="true").option("enforceSchema", False)
     return reader.option("mode", "FAILFAST").csv(path)
 
 
