@@ -42,6 +42,8 @@ from tallyreel.llm.common import CHUNK_BYTES, mix, settle, text_chunks, tree_sum
 
 # Pairs of a part; pairs, or tokens, that a task holds at once; share of bits that the hash leaves free.
 PART, HELD, SPARE = 1 << 20, 1 << 20, 2.0
+# Words whose tokens a worker process keeps, twice.
+REMEMBERED = 400_000
 # A space between two words: no token of either kind goes across its start.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 CHUNKS = "chunk long, doc_ids array<long>, n_a array<long>, n_b array<long>, a binary, b binary"
@@ -72,29 +74,76 @@ class Tokenizers:
             entry = self.pieces.id_to_piece(number)
             raw = bytes([int(entry[3:-1], 16)]) if self.pieces.is_byte(number) else entry.replace("▁", " ").encode()
             self.b_bytes.append(raw)
+        self.young: dict[str, tuple[bytes, bytes] | None] = {}
+        self.old = self.young
         self.a_sizes, self.b_sizes = (np.array([len(x) for x in side], np.int64) for side in (self.a_bytes, self.b_bytes))
 
     def encode(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Ids by A and by B; none where the tokens do not spell a space and the text."""
-        pieces, owner = [], []
+        """Ids by A and by B; none where the tokens do not spell a space and the text.
+
+        Both libraries see each word once while the memory holds it: no token reaches over the space before one.
+        """
+        rows: list[list] = [[] for _ in texts]
+        waiting, size = [], 0
+
+        def flush() -> None:
+            self._learn({w for _, words in waiting for w in words})
+            for row, words in waiting:
+                found = list(map(self.young.__getitem__, words))
+                rows[row].append((b"".join([e[0] for e in found]), b"".join([e[1] for e in found])) if None not in found else None)
+
         for row, text in enumerate(texts):
             for piece in _word_pieces(text or ""):
-                pieces.append(piece)
-                owner.append(row)
-        a = [e.ids for e in self.byte_level.encode_batch_fast([" " + p for p in pieces], add_special_tokens=False)]
-        b = self.pieces.encode(pieces, num_threads=1)
-        out_a, out_b = ([[] for _ in texts] for _ in range(2))
-        broken = set()
-        for row, piece, ids_a, ids_b in zip(owner, pieces, a, b, strict=True):
-            raw = b" " + piece.encode()
-            if b"".join(map(self.a_bytes.__getitem__, ids_a)) != raw or b"".join(map(self.b_bytes.__getitem__, ids_b)) != raw:
-                broken.add(row)
-            out_a[row].append(np.array(ids_a, "<u2"))
-            out_b[row].append(np.array(ids_b, "<u2"))
-        none = np.zeros(0, "<u2")
-        return tuple(
-            [none if row in broken or not parts else np.concatenate(parts) for row, parts in enumerate(side)] for side in (out_a, out_b)
-        )
+                waiting.append((row, _CUT.split(piece)))
+                size += len(piece)
+                if size > CHUNK_BYTES:
+                    flush()
+                    waiting, size = [], 0
+        flush()
+        whole = [parts if None not in parts else [] for parts in rows]
+        return tuple([np.frombuffer(b"".join([p[side] for p in parts]), "<u2") for parts in whole] for side in (0, 1))
+
+    def _learn(self, words: set[str]) -> None:
+        """All of them are in the young half of the memory then; what a full half held and nobody asks for again goes."""
+        if len(self.young) > REMEMBERED:
+            self.young, self.old = {}, self.young
+        new = words.difference(self.young)
+        known = new.intersection(self.old)
+        self.young.update({w: self.old[w] for w in known})
+        new -= known
+        # White space at either end, as texts have it, would join the space between two words.
+        edges = {w for w in new if w != w.strip()}
+        for word in edges:
+            self._learn_one(word)
+        new = list(new - edges)
+        if not new:
+            return
+        # All new words as one text, which its tokens must spell.
+        ends = np.cumsum([len(w.encode()) + 1 for w in new])
+        a, b = self._ids(" ".join(new))
+        if a is not None:
+            cut_a, cut_b = (np.searchsorted(np.cumsum(sizes[ids]), ends) + 1 for sizes, ids in ((self.a_sizes, a), (self.b_sizes, b)))
+            raw_a, raw_b = a.tobytes(), b.tobytes()
+            low_a = low_b = 0
+            for word, high_a, high_b in zip(new, (2 * cut_a).tolist(), (2 * cut_b).tolist(), strict=True):
+                self.young[word] = raw_a[low_a:high_a], raw_b[low_b:high_b]
+                low_a, low_b = high_a, high_b
+            return
+        for word in new:
+            self._learn_one(word)
+
+    def _learn_one(self, word: str) -> None:
+        a, b = self._ids(word)
+        self.young[word] = None if a is None else (a.tobytes(), b.tobytes())
+
+    def _ids(self, text: str) -> tuple[np.ndarray, np.ndarray] | tuple[None, None]:
+        """Ids of a space and the text by both libraries, none where they do not spell it."""
+        raw = b" " + text.encode()
+        (entry,) = self.byte_level.encode_batch_fast([" " + text], add_special_tokens=False)
+        a, b = (np.array(ids, "<u2") for ids in (entry.ids, self.pieces.encode(text)))
+        if b"".join([self.a_bytes[i] for i in a.tolist()]) != raw or b"".join([self.b_bytes[i] for i in b.tolist()]) != raw:
+            return None, None
+        return a, b
 
 
 def _word_pieces(text: str) -> Iterator[str]:
