@@ -308,6 +308,28 @@ PLANS["temporal_rate_join"] = lambda m, _: temporal_rate_join(
     "on_date",
     ["rate_to_usd"],
 )
+
+
+@plan("temporal_rate_join_daily")
+def _(m, sf_dir):
+    """A rate for each day and one for each month that has changes: many periods a currency, two for each change."""
+    dated = m.stg_subscriptions.select(
+        "subscription_change_key", "currency", F.col("effective_at_utc").cast("date").alias("on_date")
+    )
+    days = dated.select("currency", "on_date").dropna().distinct()
+    daily = days.select(
+        "currency",
+        (F.unix_date("on_date") % 100 + 1).cast("double").alias("rate_to_usd"),
+        F.col("on_date").alias("valid_from"),
+        F.col("on_date").alias("valid_to"),
+    )
+    first = F.trunc("on_date", "month")
+    monthly = days.select(
+        "currency", F.lit(0.5).alias("rate_to_usd"), first.alias("valid_from"), F.last_day("on_date").alias("valid_to")
+    ).distinct()
+    return temporal_rate_join(dated, daily.union(monthly), "currency", "on_date", ["rate_to_usd", "valid_to"], many_periods=True)
+
+
 PLANS["orphan_filter_join"] = lambda m, _: keep_known(m.stg_subscriptions, m.stg_users, "user_id").select(
     "subscription_change_key", "user_id"
 )

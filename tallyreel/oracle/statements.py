@@ -147,6 +147,17 @@ SELECT subscription_change_key, s.currency, effective_at_utc::date AS on_date, r
 FROM stg_subscriptions s
 LEFT JOIN rates r ON r.currency = s.currency
   AND effective_at_utc::date >= r.valid_from AND effective_at_utc::date <= r.valid_to"""
+BODIES["temporal_rate_join_daily"] = """
+SELECT subscription_change_key, s.currency, s.on_date, r.rate_to_usd, r.valid_to
+FROM (SELECT subscription_change_key, currency, effective_at_utc::date AS on_date FROM stg_subscriptions) s
+LEFT JOIN (
+    SELECT DISTINCT currency, effective_at_utc::date AS valid_from, effective_at_utc::date AS valid_to,
+           ((effective_at_utc::date - date '1970-01-01') % 100 + 1)::double AS rate_to_usd
+    FROM stg_subscriptions WHERE currency IS NOT NULL AND effective_at_utc IS NOT NULL
+    UNION ALL
+    SELECT DISTINCT currency, date_trunc('month', effective_at_utc)::date, last_day(effective_at_utc), 0.5::double
+    FROM stg_subscriptions WHERE currency IS NOT NULL AND effective_at_utc IS NOT NULL) r
+  ON r.currency = s.currency AND s.on_date BETWEEN r.valid_from AND r.valid_to"""
 BODIES["orphan_filter_join"] = """
 SELECT subscription_change_key, user_id FROM stg_subscriptions
 WHERE user_id IN (SELECT user_id FROM stg_users)"""

@@ -16,14 +16,13 @@ from tallyreel.quality import checks as Q
 from tallyreel.quality import declared as D
 from tallyreel.quality.suite import failing_count, run_declared
 from tallyreel.session import size_shuffles
+from tallyreel.sources.publish import publish, write_version
 from tallyreel.sources.raw import RawTables
 from tallyreel.sources.sinks import (
     DATA_NAMESPACE,
     PRODUCT_NAMESPACE,
     STAGING_NAMESPACE,
-    persist_docs,
     with_comments,
-    write_mart,
 )
 
 
@@ -44,7 +43,7 @@ class Models:
 
     @cached_property
     def stg_subscriptions(self) -> DataFrame:
-        return staging.stg_subscriptions(self.raw["subscriptions"], self.raw.rates)
+        return staging.stg_subscriptions(self.raw["subscriptions"], self.raw.rates, self.raw.many_rate_periods)
 
     @cached_property
     def stg_users(self) -> DataFrame:
@@ -172,16 +171,17 @@ def build(
 ) -> Models:
     """Write every mart in dependency order; each later one reads the written ones.
 
-    With ``check`` the layer's declared and whole-table checks run on the written tables after each
-    layer, and a failing row stops the build before anything depends on it. ``suites`` replaces the
-    declared checks of a layer.
+    A layer is written whole before its tables are published. With ``check`` the layer's declared and
+    whole-table checks run on the written tables first, and a failing row stops the build before anybody
+    reads or builds on them. ``suites`` replaces the declared checks of a layer.
 
     The cleaned events are not a mart, but sessions, checks and the ordered profiles all read
     them, so they are written too, bucketed by session unless some session is too big for one
     bucket. Staging views of small sources stay lazy.
     """
     models = Models(raw, config)
-    size_shuffles(raw["playback_events"].sparkSession, raw.tables.values())
+    spark = raw["playback_events"].sparkSession
+    size_shuffles(spark, raw.tables.values())
     buckets = None if raw.hot("playback_events", "session_id") else "session_id"
     for namespace, names in (
         (STAGING_NAMESPACE, ["stg_playback_events"]),
@@ -189,12 +189,14 @@ def build(
         (PRODUCT_NAMESPACE, PRODUCT_MARTS),
     ):
         folder = None if path is None else f"{path}/{namespace}"
+        versions = []
         for name in names:
             described = with_comments(getattr(models, name), COLUMNS.get(name, {}))
             by = buckets if name == "stg_playback_events" else None
-            written = write_mart(described, namespace, name, folder, PARTITIONS.get(name), by)
-            persist_docs(written.sparkSession, f"{namespace}.{name}", TABLES[name], {})
-            setattr(models, name, written)
+            versions.append(write_version(described, namespace, name, folder, PARTITIONS.get(name), by))
+            setattr(models, name, versions[-1].read(spark))
         if check:
             require_passing(layer_report(models, namespace, (suites or {}).get(namespace)))
+        for version in versions:
+            publish(spark, version, TABLES[version.table])
     return models

@@ -54,8 +54,8 @@ def stg_asset_catalog(raw: DataFrame) -> DataFrame:
     )
 
 
-def stg_subscriptions(raw: DataFrame, rates: DataFrame) -> DataFrame:
-    """One row per change, with the amount in USD at the rate of the change's day."""
+def stg_subscriptions(raw: DataFrame, rates: DataFrame, many_periods: bool | None = None) -> DataFrame:
+    """One row per change, with the amount in USD at the rate of the change's day; see ``temporal_rate_join``."""
     typed = raw.select(
         C.surrogate_key([F.col("subscription_id"), F.col("event_effective_ts")])
         .alias("subscription_change_key"),
@@ -68,7 +68,7 @@ def stg_subscriptions(raw: DataFrame, rates: DataFrame) -> DataFrame:
         C.number(F.col("mrr_amount")).alias("billing_period_amount"),
         "currency",
     ).withColumn("effective_date", F.col("effective_at_utc").cast("date"))
-    rated = temporal_rate_join(typed, rates, "currency", "effective_date", ["rate_to_usd"])
+    rated = temporal_rate_join(typed, rates, "currency", "effective_date", ["rate_to_usd"], many_periods=many_periods)
     return rated.withColumns(
         {
             "usd_billing_period_amount": round_half_away(

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyreel.operators.rates import has_many_periods
 from tallyreel.operators.split_window import HotGroups, find_hot_groups
+from tallyreel.sources.publish import current_folder, publish, publish_folder, withdraw, write_folder_version, write_version
 from tallyreel.sources.quoted_lines import read_records
 
 # The four extracts and their columns.
@@ -142,25 +144,40 @@ class RawTables:
             self._hot[which] = find_hot_groups(typed, [key], self.max_group_rows)
         return self._hot[which]
 
+    @cached_property
+    def many_rate_periods(self) -> bool:
+        return has_many_periods(self.rates, "currency")
+
 
 def land_raw(
     tables: Mapping[str, DataFrame], folder: str, rows_per_file: Mapping[str, int] | None = None
 ) -> dict[str, DataFrame]:
     """Full refresh of the raw layer as Parquet files below one folder; tables no longer delivered go.
 
-    A row limit per file keeps even a small table readable by several tasks, without a shuffle.
+    All tables are written before the first one is switched to its new version, each in one step. A row
+    limit per file keeps even a small table readable by several tasks, without a shuffle.
     """
+    written = {n: write_folder_version(df, f"{folder}/{n}", (rows_per_file or {}).get(n, 0)) for n, df in tables.items()}
     landed = {}
-    for name, df in tables.items():
-        path = f"{folder}/{name}"
-        limit = (rows_per_file or {}).get(name, 0)
-        df.write.mode("overwrite").option("maxRecordsPerFile", limit).parquet(path)
-        landed[name] = df.sparkSession.read.schema(df.schema).parquet(path)
+    for name, version in written.items():
+        spark = tables[name].sparkSession
+        publish_folder(spark, f"{folder}/{name}", version)
+        landed[name] = spark.read.schema(tables[name].schema).parquet(f"{folder}/{name}/{version}")
     if landed:
-        _drop_undelivered(next(iter(tables.values())).sparkSession, folder, set(RAW_COLUMNS) - set(landed))
+        _drop_undelivered(spark, folder, set(RAW_COLUMNS) - set(landed))
     return landed
 
 
+def landed_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The extracts that a landed folder holds now, in their current version."""
+    current = {name: current_folder(spark, f"{folder}/{name}") for name in RAW_COLUMNS}
+    return {
+        name: spark.read.schema(text_schema(RAW_COLUMNS[name])).parquet(f"{folder}/{name}/{version}")
+        for name, version in current.items()
+        if version
+    }
+
+
 def _drop_undelivered(spark: SparkSession, folder: str, names: set[str]) -> None:
     """Removes the extracts of these names from the raw layer; other folders are not touched."""
     path = spark._jvm.org.apache.hadoop.fs.Path
@@ -172,15 +189,15 @@ def _drop_undelivered(spark: SparkSession, folder: str, names: set[str]) -> None
 def land_raw_tables(tables: Mapping[str, DataFrame], namespace: str = "raw") -> None:
     """Full refresh of the raw layer as catalog tables; tables no longer delivered are dropped.
 
-    Reading resolves every extract first, so a missing one fails before anything is replaced.
+    Reading resolves every extract first, and all are written before the first one is published, so a
+    missing or broken one fails before anything is replaced.
     """
     spark = next(iter(tables.values())).sparkSession
-    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}")
-    for name, df in tables.items():
-        df.write.mode("overwrite").format("parquet").saveAsTable(f"{namespace}.{name}")
+    for version in [write_version(df, namespace, name) for name, df in tables.items()]:
+        publish(spark, version)
     for row in spark.sql(f"SHOW TABLES IN {namespace}").collect():
         if row["tableName"] not in tables and not row["isTemporary"]:
-            spark.sql(f"DROP TABLE {namespace}.{row['tableName']}")
+            withdraw(spark, namespace, row["tableName"])
 
 
 def landing_report(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyreel.sources.publish import describe, describe_columns, publish, write_version
+
 # Facts any team may adopt, and definitions one team owns.
 STAGING_NAMESPACE = "staging"
 DATA_NAMESPACE = "marts_data"
@@ -26,33 +28,17 @@ def write_mart(
     path: str | None = None,
     partition_by: str | None = None,
     bucket_by: str | None = None,
+    check: Callable[[DataFrame], None] | None = None,
 ) -> DataFrame:
-    """Full refresh of one mart table; readers get it back as a scan.
+    """Full refresh of one mart table, published in one step; returned as a scan of what was written.
 
-    ``path`` is the folder of the namespace. ``partition_by`` lays rows out by a column for
-    partition pruning; the rebalance hint lets AQE split a value that holds too many of them.
-    ``bucket_by`` lays rows out for later joins, windows and aggregations on that column, which
-    then need no shuffle. A bucket is read by one task, so use it only where no single value is
-    large (RawTables.hot returns None).
+    ``check`` sees the written rows first; if it raises, readers keep the old ones. For the layout see
+    ``write_version``.
     """
-    spark = df.sparkSession
-    place = "" if path is None else f" LOCATION {_quoted(path)}"
-    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}{place}")
-    if partition_by:
-        df = df.hint("rebalance", F.col(partition_by))
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if bucket_by:
-        # The same hash as the buckets, so each task writes one file.
-        df = df.repartition(buckets, bucket_by)
-    writer = df.write.mode("overwrite").format("parquet")
-    if path is not None:
-        writer = writer.option("path", f"{path}/{table}")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    if bucket_by:
-        writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
-    writer.saveAsTable(f"{namespace}.{table}")
-    return spark.table(f"{namespace}.{table}").select(*df.columns)
+    version = write_version(df, namespace, table, path, partition_by, bucket_by)
+    if check:
+        check(version.read(df.sparkSession))
+    return publish(df.sparkSession, version)
 
 
 def with_comments(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
@@ -62,15 +48,11 @@ def with_comments(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     )
 
 
-def _quoted(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def persist_docs(spark: SparkSession, table: str, description: str, columns: Mapping[str, str]) -> None:
-    """Write table and column descriptions of an existing table into the catalog."""
-    spark.sql(f"COMMENT ON TABLE {table} IS {_quoted(description)}")
-    for column, text in columns.items():
-        spark.sql(f"ALTER TABLE {table} ALTER COLUMN {column} COMMENT {_quoted(text)}")
+    """Write table and column descriptions of a published table into the catalog."""
+    describe(spark, table, description)
+    if columns:
+        describe_columns(spark, *table.rsplit(".", 1), dict(columns))
 
 
 def documented_columns(spark: SparkSession, table: str) -> DataFrame:

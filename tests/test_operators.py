@@ -1,6 +1,7 @@
 """Operators on hand-made inputs."""
 
 import datetime as dt
+import random
 import statistics
 
 import pytest
@@ -12,7 +13,7 @@ from tallyreel.operators.dedupe import dedupe_first
 from tallyreel.operators.lookups import flag_unknown, keep_known, orphans
 from tallyreel.operators.paths import ordered_paths
 from tallyreel.operators.quantiles import exact_quantiles
-from tallyreel.operators.rates import temporal_rate_join
+from tallyreel.operators.rates import covering_periods, temporal_rate_join
 from tallyreel.operators.split_window import find_hot_groups
 from tallyreel.plans import marts_data as MD
 from tallyreel.plans import marts_product as MP
@@ -121,6 +122,43 @@ def test_rate_join_survives_without_broadcast(spark):
     assert results[0] == results[1] == [(0, 79.99), (1, 101.59), (2, 87.19), (3, None)]
 
 
+def test_many_rate_periods(spark):
+    """10,000 daily periods of one currency beside overlapping and empty ones: same rows, few candidates."""
+    base, draw = dt.date(1995, 1, 1), random.Random(4)
+    day = lambda n: base + dt.timedelta(days=n)
+    periods = [("USD", float(i), day(i), day(i)) for i in range(10_000)]
+    periods += [("EUR", float(i), day(lo := draw.randrange(-900, 900)), day(lo + draw.randrange(-2, 400))) for i in range(60)]
+    periods += [("GBP", 1.5, dt.date(1900, 1, 1), dt.date(2999, 12, 31)), ("GBP", 2.5, None, day(5)), (None, 1.0, day(0), day(9))]
+    rows = [(i, draw.choice(["USD", "EUR", "GBP", "CHF", None]), draw.choice([None, day(draw.randrange(-1000, 10_100))])) for i in range(900)]
+    rates = spark.createDataFrame(periods, "currency string, rate double, valid_from date, valid_to date")
+    df = spark.createDataFrame(rows, "id int, currency string, d date")
+    got = [tuple(r) for r in temporal_rate_join(df, rates, "currency", "d", ["rate"]).collect()]
+    want = []
+    for i, currency, d in rows:
+        hits = [r for c, r, lo, hi in periods if c is not None and c == currency and d and lo and hi and lo <= d <= hi]
+        want += [(i, currency, d, r) for r in hits or [None]]
+    order = lambda row: (row[0], row[3] or 0)
+    assert sorted(got, key=order) == sorted(want, key=order)
+    # Without the residual condition the index offers at most twice as many candidates as there are days.
+    days = spark.createDataFrame([("USD", n) for n in range(9000, 18_000)], "_rate_key string, _day int")
+    bounds = rates.filter("currency = 'USD'").selectExpr("currency _rate_key", "unix_date(valid_from) _from", "unix_date(valid_to) _to", "rate")
+    found = covering_periods(days, bounds, ["rate"])
+    assert found.count() == len([n for n in range(9000, 18_000) if 0 <= n - (base - dt.date(1970, 1, 1)).days < 10_000])
+    assert "BroadcastNestedLoop" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("length", [1, 2, 3, 7, 30, 365, 1000])
+def test_candidates_of_the_period_index(spark, length):
+    """Adjoining periods of one length: a day meets two of them at most on average."""
+    rows = [("k", i * length, (i + 1) * length - 1, float(i)) for i in range(200)]
+    periods = spark.createDataFrame(rows, "_rate_key string, _from int, _to int, rate double")
+    days = spark.range(200 * length).select(F.lit("k").alias("_rate_key"), F.col("id").cast("int").alias("_day"))
+    assert covering_periods(days, periods, ["rate"]).count() == 200 * length
+    width = max(1, 2 ** (length.bit_length() - 2))
+    met = sum(sum(1 for i in range(b * width // length, min(199, (b * width + width - 1) // length) + 1)) for b in (d // width for d in range(200 * length)))
+    assert met <= 2 * 200 * length
+
+
 # ------------------------------------------------------------------ quantiles
 
 
