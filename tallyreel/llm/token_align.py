@@ -43,7 +43,7 @@ from tallyreel.llm.common import CHUNK_BYTES, mix, settle, text_chunks, tree_sum
 # Pairs of a part; pairs, or tokens, that a task holds at once; share of bits that the hash leaves free.
 PART, HELD, SPARE = 1 << 20, 1 << 20, 2.0
 # Words whose tokens a worker process keeps, twice.
-REMEMBERED = 400_000
+REMEMBERED = 120_000
 # A space between two words: no token of either kind goes across its start.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 CHUNKS = "chunk long, doc_ids array<long>, n_a array<long>, n_b array<long>, a binary, b binary"
