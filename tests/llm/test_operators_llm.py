@@ -166,6 +166,37 @@ def test_near_classes_equal_brute_force(spark):
     assert near_dedup.near_classes(docs.limit(0)).count() == 0
 
 
+def test_near_classes_of_repeated_and_null_ids(spark):
+    rng = random.Random(31)
+    a, b, c, d = (words(rng, 100) for _ in range(4))
+    rows = [(1, a), (1, b), (2, a + " x"), (3, b + " y"), (5, c), (5, c), (None, c), (None, d), (None, d), (9, None), (9, None), (None, None)]
+    docs = spark.createDataFrame([(i, t, "q", t) for i, t in rows], "doc_id long, text string, node string, digest string").repartition(4)
+    got = sorted((r["doc_id"] or 0, r["class_id"]) for r in near_dedup.near_classes(docs).collect())
+    # Texts of one id are one document; a NULL id takes the id of its class, if there is one.
+    assert sorted(got, key=str) == sorted([(1, 1), (2, 1), (3, 1), (5, 5), (9, 9), (0, 5), (0, None)], key=str)
+    kept = near_dedup.keep_one(docs)
+    assert kept.columns == docs.columns
+    rest = sorted((r["doc_id"] or 0, r["text"] or "") for r in kept.collect())
+    assert [i for i, _ in rest] == [0, 0, 1, 5, 9, 9] and rest[0] == (0, "") and rest[1] == (0, d) and rest[2][1] in (a, b)
+
+
+@pytest.mark.parametrize("similarity", [0.5, 0.8])
+def test_prefixes_lose_no_pair(similarity):
+    rng = np.random.default_rng(7)
+    pool = rng.integers(0, 1 << 63, 60, np.uint64)
+    sets = [np.sort(rng.choice(pool, rng.integers(1, 40), replace=False)) for _ in range(60)]
+    sets += [np.sort(np.append(s[:-1], rng.integers(0, 1 << 63, 1, np.uint64))) for s in sets[:30]] + sets[:3]
+    weight = {k: 1 + i % 5 / 2 for i, k in enumerate(sorted({k for s in sets for k in s.tolist()}))}
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    hashes = np.concatenate(sets)
+    prefixes = near_dedup.Prefixes(owner, hashes, np.array([weight[k] for k in hashes.tolist()]), len(sets), similarity)
+    got = {(min(i, j), max(i, j)) for i in range(len(sets)) for j in prefixes.reaching(i, prefixes.candidates(i)).tolist()}
+    bags = [set(s.tolist()) for s in sets]
+    total = lambda keys: sum(weight[k] for k in keys)
+    near = lambda x, y: total(x & y) >= similarity * total(x | y) - 1e-9
+    assert got == {(i, j) for j in range(len(sets)) for i in range(j) if near(bags[i], bags[j])}
+
+
 @pytest.mark.parametrize("block", [64, 20])
 def test_near_classes_of_large_mixed_buckets(spark, monkeypatch, block):
     """A star of 500 copies of one text, and a family just under the limit that hides pairs above it."""
