@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyreel.operators.rates import has_many_periods
-from tallyreel.operators.split_window import HotGroups, find_hot_groups
+from tallyreel.operators.split_window import HotGroups, find_hot_keys
 from tallyreel.sources.publish import current_folder, publish, publish_folder, withdraw, write_folder_version, write_version
 from tallyreel.sources.quoted_lines import read_records
 
@@ -51,6 +51,12 @@ RAW_COLUMNS = {
     "users": ["user_id", "signup_ts", "home_state", "acquisition_channel"],
 }
 
+# Columns, and the types they are read as, by which windows and sessions group these tables.
+GROUP_KEYS = {
+    "playback_events": [("session_id", "string")],
+    "subscriptions": [("subscription_id", "string"), ("subscription_id", "bigint"), ("user_id", "string"), ("user_id", "bigint")],
+}
+
 RATE_SCHEMA = T.StructType(
     [
         T.StructField("currency", T.StringType()),
@@ -134,15 +140,15 @@ class RawTables:
         return self.tables[table]
 
     def hot(self, table: str, key: str, key_type: str = "string") -> HotGroups | None:
-        """Groups above the row limit, counted once on the landed rows.
+        """Groups above the row limit, found on the landed rows, for all keys of the table at once.
 
         Cleaning only drops rows of a group, so this also covers every table derived from it.
         """
-        which = (table, key, key_type)
-        if which not in self._hot:
-            typed = self.tables[table].select(F.col(key).try_cast(key_type).alias(key))
-            self._hot[which] = find_hot_groups(typed, [key], self.max_group_rows)
-        return self._hot[which]
+        if (table, key, key_type) not in self._hot:
+            wanted = {*GROUP_KEYS.get(table, ()), (key, key_type)}
+            found = find_hot_keys(self.tables[table], {f"{k} {t}": (k, t) for k, t in wanted}, self.max_group_rows)
+            self._hot |= {(table, *name.split(" ")): groups for name, groups in found.items()}
+        return self._hot[table, key, key_type]
 
     @cached_property
     def many_rate_periods(self) -> bool:

@@ -172,3 +172,31 @@ def test_declared_suite_fires(spark):
         "t.(id, v): unique_combination": 1,
         "t.p: relationships parent": 1,
     }
+
+
+def test_colliding_digests_are_not_failures(spark):
+    """xxhash64 leaves NULLs out, so (NULL, 'a') and ('a', NULL) share a digest; only equal values fail."""
+    rows = [(None, "a"), ("a", None), ("b", "c"), ("b", "c"), ("b", "c"), (None, None), (None, None), ("d", "e")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    suite = [D.Declared("t", ["x"], unique=["x", "y"], unique_together=[["x", "y"]])]
+    report = {r["check_name"]: r["failing_rows"] for r in run_declared({"t": df}.get, suite).collect()}
+    assert report == {"t.x: not_null": 3, "t.x: unique": 1, "t.y: unique": 1, "t.(x, y): unique_combination": 2}
+
+
+def final_plan(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan[: plan.index("Initial Plan")]
+
+
+def test_one_scan_a_table_where_keys_are_unique(spark, tmp_path):
+    """The second scan, of repeated digests, is planned but drops out at run time; with repeats, the first is used twice."""
+    spark.range(1000).selectExpr("id", "concat('v', id) v", "id % 7 w").write.parquet(str(tmp_path / "t"))
+    suite = [D.Declared("t", ["id", "v"], {"w": list(range(7))}, unique=["id", "v"], unique_together=[["v", "w"], ["id", "w"]])]
+    report = run_declared({"t": spark.read.parquet(str(tmp_path / "t"))}.get, suite)
+    assert {r["failing_rows"] for r in report.collect()} == {0}
+    assert "LeftSemi" not in final_plan(report)
+    spark.range(3).selectExpr("id", "'v0' v", "id % 7 w").write.mode("append").parquet(str(tmp_path / "t"))
+    report = run_declared({"t": spark.read.parquet(str(tmp_path / "t"))}.get, suite)
+    counts = {r["check_name"]: r["failing_rows"] for r in report.collect()}
+    assert counts["t.id: unique"] == 3 and counts["t.v: unique"] == 1 and counts["t.(id, w): unique_combination"] == 3
+    assert final_plan(report).count("FileScan") == 2 and "ReusedExchange" in final_plan(report)

@@ -1,10 +1,12 @@
 """Hot groups: cut into pieces or not, the values must be the same."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from tallyreel.operators import split_window
 from tallyreel.operators.history import scd2_windows
 from tallyreel.operators.intervals import label_islands, overlap_partners, overlapping_after_merge
 from tallyreel.operators.split_window import (
@@ -164,3 +166,22 @@ def test_scd2_windows(spark):
             (1, 9, (2999, 31), True),
             (2, 3, (2999, 31), True),
         }
+
+
+def test_hot_keys_of_all_columns_at_once(spark, monkeypatch):
+    """One pass for several keys and types; sampled or not, the same groups with exact sizes."""
+    rows = [("a" if i % 3 == 0 else f"k{i % 700}", "7" if i % 5 == 0 else f"0{i % 9}" if i % 7 else None) for i in range(6000)]
+    df = spark.createDataFrame(rows, "x string, y string")
+    keys = {"x": ("x", "string"), "y": ("y", "string"), "n": ("y", "bigint"), "none": ("x", "bigint")}
+    counts = {name: Counter(r[c == "y"] and (r[c == "y"] if t == "string" else int(r[c == "y"]) if (r[c == "y"] or "").isdigit() else None)
+                            for r in rows) for name, (c, t) in keys.items()}
+    for sampled in (10_000, 64):
+        monkeypatch.setattr(split_window, "SAMPLED", sampled)
+        found = split_window.find_hot_keys(df, keys, 900)
+        for name, (column, _) in keys.items():
+            want = {k for k, n in counts[name].items() if n > 900}
+            assert ({r[column] for r in found[name].keys.collect()} if found[name] else set()) == want
+            if want:
+                total = sum(n for n in counts[name].values() if n > 900)
+                assert found[name].pieces == max(2, -(-2 * total // 900))
+    assert split_window.find_hot_keys(df, {"x": ("x", "string")}, 5000) == {"x": None}
