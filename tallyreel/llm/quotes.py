@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from tallyreel.llm.common import settle
 from tallyreel.operators.split_window import RowNumber, find_hot_groups, ordered_columns
 
-MARKS = r"^(\s*>)+"
+# White space and signs up to the last sign. A repeated group would recurse once a repetition in the JVM.
+MARKS = r"^[\s>]*>"
 
 
 def normalised_hash(text: Column) -> Column:
