@@ -126,6 +126,28 @@ class Splitter:
         return np.flatnonzero(starts)
 
 
+def _alike(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One place of each distinct piece, and which of them each piece equals. Pieces lie end to end.
+
+    Hashes only propose: every piece is compared with the one it would share, byte by byte.
+    """
+    _, first, which = np.unique(RangeHash(data)(starts, ends), return_index=True, return_inverse=True)
+    sizes, like = ends - starts, first[which]
+    if (sizes[like] == sizes).all():
+        shift = np.repeat(starts[like] - starts, sizes)
+        at = np.arange(starts[0], ends[-1])
+        if (data[at + shift] == data[at]).all():
+            return first, which
+    raw, known, places = data.tobytes(), {}, []
+    which = np.empty(len(starts), np.int64)
+    for i, (a, b) in enumerate(zip(starts.tolist(), ends.tolist(), strict=True)):
+        number = known.setdefault(raw[a:b], len(known))
+        which[i] = number
+        if number == len(places):
+            places.append(i)
+    return np.array(places, np.int64), which
+
+
 class BytePairCodec:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.splitter = Splitter(pattern)
@@ -142,8 +164,8 @@ class BytePairCodec:
         self.pairs = pairs
         self.pair_keys = np.array(sorted(pairs), np.int64)
         self.pair_ranks = np.array([pairs[k] for k in self.pair_keys.tolist()], np.int64)
-        self.memo: dict[tuple[int, int], bytes] = {}
-        self.older: dict[tuple[int, int], bytes] = {}
+        self.memo: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         in_order = [self.tokens.get(rank, b"") for rank in range(int(self.base))]
         self.token_bytes = np.frombuffer(b"".join(in_order), np.uint8)
         self.token_sizes = np.fromiter(map(len, in_order), np.int64, len(in_order))
@@ -164,12 +186,9 @@ class BytePairCodec:
         if not len(starts):
             return [b""] * len(texts)
         ends = np.append(starts[1:], len(data))
-        keys = RangeHash(data)(starts, ends)
-        second = RangeHash(data, 1)(starts, ends)
-        _, first, pieces = np.unique(keys, return_index=True, return_inverse=True)
-        if (second[first][pieces] != second).any():  # two different pieces share the first hash
-            _, first, pieces = np.unique(np.stack([keys, second]), axis=1, return_index=True, return_inverse=True)
-        encoded = self._encode_pieces(data, starts[first], ends[first], keys[first], second[first])
+        first, pieces = _alike(data, starts, ends)
+        raw = data.tobytes()
+        encoded = self._encode_pieces([raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])
         flat = np.frombuffer(b"".join(encoded), "<u4")
         lengths = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
         ids, ends = _lay_out(flat, lengths, pieces)
@@ -185,19 +204,18 @@ class BytePairCodec:
         ends = np.concatenate([[0], ends])[np.cumsum([0, *(len(e) // 4 for e in encoded)])].tolist()
         return [raw[a:b].tobytes() for a, b in pairwise(ends)]
 
-    def _encode_pieces(self, data, starts, ends, keys, second) -> list[bytes]:
+    def _encode_pieces(self, raws: list[bytes]) -> list[bytes]:
         """Looks pieces up in two generations of memory, so that frequent ones outlive a full one."""
-        names, memo, older = list(zip(keys.tolist(), second.tolist(), strict=True)), self.memo, self.older
-        found = [memo.get(n) or older.get(n) for n in names]
+        memo, older = self.memo, self.older
+        found = [memo.get(r) or older.get(r) for r in raws]
         new = [i for i, ids in enumerate(found) if ids is None]
         if new:
-            raw = data.tobytes()
-            merged = self._merge([raw[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)])
+            merged = self._merge([raws[i] for i in new])
             for i, ids in zip(new, merged, strict=True):
                 found[i] = ids
         if len(memo) + len(new) > MEMO_PIECES:
             self.older, self.memo = memo, {}
-        self.memo.update(zip(names, found, strict=True))
+        self.memo.update(zip(raws, found, strict=True))
         return found
 
     def _merge(self, raws: list[bytes]) -> list[bytes]:

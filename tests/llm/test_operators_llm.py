@@ -171,7 +171,7 @@ def test_near_classes_of_repeated_and_null_ids(spark):
     a, b, c, d = (words(rng, 100) for _ in range(4))
     rows = [(1, a), (1, b), (2, a + " x"), (3, b + " y"), (5, c), (5, c), (None, c), (None, d), (None, d), (9, None), (9, None), (None, None)]
     docs = spark.createDataFrame([(i, t, "q", t) for i, t in rows], "doc_id long, text string, node string, digest string").repartition(4)
-    got = sorted((r["doc_id"] or 0, r["class_id"]) for r in near_dedup.near_classes(docs).collect())
+    got = [(r["doc_id"] or 0, r["class_id"]) for r in near_dedup.near_classes(docs).collect()]
     # Texts of one id are one document; a NULL id takes the id of its class, if there is one.
     assert sorted(got, key=str) == sorted([(1, 1), (2, 1), (3, 1), (5, 5), (9, 9), (0, 5), (0, None)], key=str)
     kept = near_dedup.keep_one(docs)
@@ -369,6 +369,16 @@ def test_very_long_texts_go_through_in_stretches(monkeypatch, encoder):
     assert all((a == b).all() for a, b in zip(whole, near_dedup.shingles(pa.array([text * 30])), strict=True))
 
 
+def test_bpe_of_pieces_with_one_hash(encoder):
+    """Long Thue-Morse words and their complements collide in every polynomial hash modulo a power of two."""
+    bits = [bin(i).count("1") % 2 for i in range(4096)]
+    one, other = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    codec = bpe.BytePairCodec(bpe.read_ranks(public_tokenizers.path(RANKS)), public_tokenizers.PATTERN)
+    for texts in ([one, other], [other], [one], [f"x {one} {other} x {one}", "", other]):
+        got = [np.frombuffer(ids, "<u4").tolist() for ids in codec.encode_all(texts)]
+        assert got == [encoder.encode_ordinary(t) for t in texts]
+
+
 def test_bpe_takes_other_patterns():
     codec = bpe.BytePairCodec(bpe.read_ranks(public_tokenizers.path(RANKS)), r"\w+|\W+")
     assert codec.decode(codec.encode("one two, thrée")) == "one two, thrée".encode()
@@ -418,6 +428,13 @@ def test_quotes_link_and_order(spark):
     assert differences(out, con, ORACLE["op7_chat_formatting"]) == []
 
 
+def test_long_quote_prefixes(spark):
+    signs = ">" * 100_000
+    rows = [(1, 1, "u", "first words"), (1, 2, "a", f"{signs} first words\n{' >' * 50_000} first words\nown"), (1, 3, "u", f"{signs[:-1]}x{signs}")]
+    out = quotes.reply_order(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).orderBy("turn").collect()
+    assert [(r["parent"], r["linked"], r["text"]) for r in out] == [(None, 0, "first words"), (1, 4, "own"), (None, 0, "")]
+
+
 def test_quotes_stay_in_the_jvm(spark):
     messages = spark.createDataFrame([(1, 0, "user", "x")], "conv_id long, turn long, role string, text string")
     plan = quotes.reply_order(messages)._jdf.queryExecution().toString()
