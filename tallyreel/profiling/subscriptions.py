@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyreel.functions.numeric import round_half_away
 from tallyreel.functions.timestamps import parse_naive
 from tallyreel.operators.intervals import overlap_partners
-from tallyreel.operators.paths import ordered_paths
+from tallyreel.operators.paths import counted_paths
 from tallyreel.operators.split_window import HotGroups
 from tallyreel.plans.marts_data import ENDED_STATES, PAID_PLANS
 from tallyreel.profiling.shared import row_count, stacked, top
@@ -86,12 +86,8 @@ def sample_multi_sub_user(subscriptions: DataFrame, at_least: int = 4) -> DataFr
 def status_paths(subscriptions: DataFrame, hot: HotGroups | None = None) -> DataFrame:
     """Ordered status path per subscription, counted."""
     order = ["event_effective_ts", "status"]
-    return (
-        ordered_paths(subscriptions, "subscription_id", "status", order, " -> ", "path", hot)
-        .groupBy("path")
-        .agg(row_count().alias("subscriptions"))
-        .orderBy(F.desc("subscriptions"), "path")
-    )
+    counted = counted_paths(subscriptions, "subscription_id", "status", order, " -> ", "path", "subscriptions", hot)
+    return counted.orderBy(F.desc("subscriptions"), "path")
 
 
 # ------------------------------------------------------------------ concurrency

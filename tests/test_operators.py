@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 import statistics
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,8 @@ from tallyreel.config import EngineConfig, standard_config
 from tallyreel.operators.collapse import collapse_agreeing
 from tallyreel.operators.dedupe import dedupe_first
 from tallyreel.operators.lookups import flag_unknown, keep_known, orphans
-from tallyreel.operators.paths import ordered_paths
+from tallyreel.operators import paths
+from tallyreel.operators.paths import counted_paths, ordered_paths
 from tallyreel.operators.quantiles import exact_quantiles
 from tallyreel.operators.rates import covering_periods, temporal_rate_join
 from tallyreel.operators.split_window import find_hot_groups
@@ -421,3 +423,34 @@ def test_resume_or_restart_ties_and_nulls(spark):
         "restarts near 0 (min_pos <= 60s)": 1,
         "starts later in the asset (resume-like)": 3,
     }
+
+
+@pytest.mark.parametrize("limit", [3, 1000])
+def test_counted_paths(spark, limit):
+    """By fingerprints or by texts, the same paths have the same counts."""
+    draw = random.Random(3)
+    data = [(f"s{i % 40}" if i % 41 else None, draw.randrange(6), draw.choice(["a", "b", None])) for i in range(400)]
+    data += [(f"short{i}", t, v) for i in range(30) for t, v in enumerate("ab" if i % 2 else "ba")]
+    data += [(f"empty{i}", 1, None) for i in range(3)]
+    df = spark.createDataFrame(data, "k string, t int, v string")
+    hot = find_hot_groups(df, ["k"], limit)
+    assert (hot is not None) == (limit == 3)
+    want = Counter()
+    for k in {r[0] for r in data}:
+        values = [v for _, v in sorted((t, v) for j, t, v in data if j == k and v is not None)]
+        want[">".join(values) if values else None] += 1
+    got = counted_paths(df, "k", "v", ["t", "v"], ">", "path", "n", hot)
+    assert {r["path"]: r["n"] for r in got.collect()} == want
+    if hot:
+        short = counted_paths(df, "k", "v", ["t", "v"], ">", "path", "n", hot, spell_bytes=3)
+        shown = {r["path"]: r["n"] for r in short.collect()}
+        assert shown["a>b"] == 15 and shown[None] == 3 and sum(shown.values()) == sum(want.values())
+        assert len(shown) == len(want) and all(p is None or len(p) <= 3 or "values, fingerprint" in p for p in shown)
+
+
+def test_colliding_fingerprints_are_found(spark, monkeypatch):
+    df = spark.createDataFrame([(k, t, v) for k, p in (("x", "ab"), ("y", "ba")) for t, v in enumerate(p)], "k string, t int, v string")
+    hot = find_hot_groups(df, ["k"], 1)
+    monkeypatch.setattr(paths.F, "xxhash64", lambda *_: F.lit(5).cast("bigint"))
+    with pytest.raises(paths.PathCollision):
+        counted_paths(df, "k", "v", ["t", "v"], ">", "path", "n", hot)
