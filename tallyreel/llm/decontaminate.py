@@ -7,14 +7,16 @@ edit distance, as a substring of the document (free ends), with at most k edits.
 
 Text is compared after lowering case and turning every run of signs other than letters and digits
 into one space. k is ``edit_share`` of an item's length, so pieces have about 1 / edit_share signs
-whatever the length. Items with fewer than ``min_chars`` signs prove nothing and take no part.
+whatever the length. Items with fewer than ``min_chars`` signs must stand word for word (k = 0, at
+word boundaries), since an edit would make another sentence of them.
 
 Items are a stated set that meets all documents: they are taken in blocks of at most ``BLOCK_BYTES``,
 one pass over the documents each, so what is sent to the tasks stays bounded for any number of items.
+Rows carry their findings from block to block; nothing is joined.
 
 Rows: NULL and empty texts and items match nothing. Repeated items (same normalised text) are
 reported under each of their ids. An empty benchmark leaves every document clean. Documents that
-repeat a doc_id are judged each on their own and share the findings of the id.
+repeat a doc_id, or have none, are judged each on their own.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyreel.llm.common import text_chunks
+from tallyreel.llm.common import settle, text_chunks
 
 EDIT_SHARE = 0.05
 MIN_CHARS = 32
@@ -71,8 +73,9 @@ def best_distance(item: str, text: str, limit: int) -> tuple[int, int] | None:
 class ItemFinder:
     """Finds the items of one block in a text."""
 
-    def __init__(self, items: list[tuple[int, str]], edit_share: float):
-        self.items = [(item_id, text, int(len(text) * edit_share)) for item_id, text in items]
+    def __init__(self, items: list[tuple[int, str]], edit_share: float, min_chars: int = MIN_CHARS):
+        self.min_chars = min_chars
+        self.items = [(item_id, text, int(len(text) * edit_share) if len(text) >= min_chars else 0) for item_id, text in items]
         pieces: dict[str, list[tuple[int, int]]] = {}
         for number, (_, text, budget) in enumerate(self.items):
             cuts = [len(text) * i // (budget + 1) for i in range(budget + 2)]
@@ -84,7 +87,7 @@ class ItemFinder:
         self.automaton.make_automaton()
 
     def __call__(self, text: str | None) -> list[tuple[int, int, int]]:
-        """(item_id, edits, start of the window's match end) of each item that the text holds."""
+        """(item_id, fewest edits, where the best match ends) of each item that the text holds."""
         text = normalise(text)
         found: dict[int, tuple[int, int]] = {}
         tried: set[tuple[int, int]] = set()
@@ -92,21 +95,24 @@ class ItemFinder:
             return []
         for end, (length, owners) in self.automaton.iter(text):
             for number, offset in owners:
-                if number in found:
-                    continue
                 _, item, budget = self.items[number]
+                least = found[number][0] if number in found else budget + 1
                 begin = end + 1 - length - offset  # where the item starts if no edit lies before the piece
-                if (number, begin) in tried:
+                if least == 0 or (number, begin) in tried:
                     continue
                 tried.add((number, begin))
+                if len(item) < self.min_chars:
+                    if " " + item + " " == " " * (begin == 0) + text[max(0, begin - 1) : end + 2] + " " * (end + 1 == len(text)):
+                        found[number] = 0, end + 1
+                    continue
                 low = max(0, begin - budget)
-                best = best_distance(item, text[low : begin + len(item) + budget], budget)
+                best = best_distance(item, text[low : begin + len(item) + budget], least - 1)
                 if best:
                     found[number] = best[0], low + best[1]
         return [(self.items[n][0], edits, at) for n, (edits, at) in found.items()]
 
 
-def item_blocks(benchmark: DataFrame, min_chars: int, block_bytes: int) -> Iterator[list[tuple[int, str]]]:
+def item_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[int, str]]]:
     """Benchmark items, normalised, in blocks of bounded size."""
     rows = benchmark.filter("text is not null and item_id is not null").select(
         F.col("item_id").cast("long").alias("item_id"), F.col("text")
@@ -116,47 +122,36 @@ def item_blocks(benchmark: DataFrame, min_chars: int, block_bytes: int) -> Itera
     for part in range(parts):
         mine = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part) if parts > 1 else rows
         items = sorted({(r["item_id"], normalise(r["text"])) for r in mine.collect()})
-        yield [(i, t) for i, t in items if len(t) >= max(1, min_chars)]
+        yield [(i, t) for i, t in items if t]
+
+
+def in_blocks(rows: DataFrame, blocks: Iterator[list[tuple[int, str]]], task) -> DataFrame:
+    """``rows`` through one pass for each block; of several blocks the driver holds one at a time."""
+    for number, items in enumerate(blocks):
+        rows = (settle(rows) if number else rows).mapInArrow(task(items), rows.schema)
+    return rows
 
 
 def find_items(
     docs: DataFrame, benchmark: DataFrame, edit_share: float = EDIT_SHARE, min_chars: int = MIN_CHARS, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """(doc_id, contaminated, n_items, item_ids, min_edits): one row per row of ``docs``, its whole text searched."""
-    blocks = list(item_blocks(benchmark, min_chars, block_bytes))
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
-    schema = "doc_id long, item_ids array<long>, edits array<int>"
+    none = [F.array().cast("array<long>").alias("item_ids"), F.array().cast("array<int>").alias("edits")]
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"], *none)
 
-    def search(items: list[tuple[int, str]]) -> DataFrame:
+    def adder(items: list[tuple[int, str]]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            find = ItemFinder(items, edit_share)
+            find = ItemFinder(items, edit_share, min_chars)
             for part in text_chunks(batches, "text"):
                 found = [find(text) for text in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id"),
-                        pa.array([[f[0] for f in one] for one in found], pa.list_(pa.int64())),
-                        pa.array([[f[1] for f in one] for one in found], pa.list_(pa.int32())),
-                    ],
-                    names=["doc_id", "item_ids", "edits"],
-                )
-
-        return rows.mapInArrow(run, schema)
-
-    found = search(blocks[0])
-    if len(blocks) > 1:
-        more = [search(b).filter("size(item_ids) > 0") for b in blocks[1:]]
-        hits = more[0]
-        for other in more[1:]:
-            hits = hits.unionByName(other)
-        hits = hits.groupBy("doc_id").agg(
-            F.flatten(F.collect_list("item_ids")).alias("_items"), F.flatten(F.collect_list("edits")).alias("_edits")
-        )
-        found = found.join(hits, "doc_id", "left").select(
-            "doc_id",
-            F.concat("item_ids", F.coalesce("_items", F.array().cast("array<long>"))).alias("item_ids"),
-            F.concat("edits", F.coalesce("_edits", F.array().cast("array<int>"))).alias("edits"),
-        )
+                before = [part.column(c).to_pylist() for c in ("item_ids", "edits")]
+                lists = [[old + [f[i] for f in one] for old, one in zip(before[i], found, strict=True)] for i in (0, 1)]
+                columns = [part.column("doc_id"), part.column("text"), pa.array(lists[0], pa.list_(pa.int64())), pa.array(lists[1], pa.list_(pa.int32()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text", "item_ids", "edits"])
+
+        return run
+
+    found = in_blocks(rows, item_blocks(benchmark, block_bytes), adder)
     return found.select(
         "doc_id",
         (F.size("item_ids") > 0).alias("contaminated"),
@@ -168,17 +163,14 @@ def find_items(
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, all columns kept."""
-    blocks = list(item_blocks(benchmark, options.get("min_chars", MIN_CHARS), options.get("block_bytes", BLOCK_BYTES)))
-    share = options.get("edit_share", EDIT_SHARE)
+    share, least = options.get("edit_share", EDIT_SHARE), options.get("min_chars", MIN_CHARS)
 
     def keeper(items: list[tuple[int, str]]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            find = ItemFinder(items, share)
+            find = ItemFinder(items, share, least)
             for part in text_chunks(batches, "text"):
                 yield part.filter(pa.array([not find(t) for t in part.column("text").to_pylist()], pa.bool_()))
 
         return run
 
-    for items in blocks:
-        docs = docs.mapInArrow(keeper(items), docs.schema)
-    return docs
+    return in_blocks(docs, item_blocks(benchmark, options.get("block_bytes", BLOCK_BYTES)), keeper)

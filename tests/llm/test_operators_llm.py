@@ -525,6 +525,7 @@ def test_items_are_found_with_edits(spark):
         near = lambda t: edit_distance_inside(t, plain) <= int(len(t) * decontaminate.EDIT_SHARE)  # noqa: B023, E731
         want[i] = sorted([n for n, t in enumerate(items) if len(plain) < 9000 and near(decontaminate.normalise(t))])
         want[i] += [92] if 3 in want[i] else []
+        want[i] += [91] if " short " in f" {plain} " else []
     for size in (decontaminate.BLOCK_BYTES, 900):  # in one block, and in several
         out = {r["doc_id"]: r for r in decontaminate.find_items(docs, bench, block_bytes=size).collect()}
         assert {i: sorted(r["item_ids"]) for i, r in out.items()} == want
@@ -535,6 +536,24 @@ def test_items_are_found_with_edits(spark):
     assert decontaminate.find_items(docs.limit(0), bench).count() == 0
 
 
+def test_null_ids_short_items_and_fewest_edits(spark):
+    rng = random.Random(13)
+    items = [" ".join(f"word{rng.randrange(900)}" for _ in range(12)) for _ in range(6)]
+    edited = items[0].replace("word", "wurd", 2)
+    rows = [(None, f"see {item} there") for item in items] + [(7, f"{edited} and then {items[0]}"), (7, edited), (7, "nothing here")]
+    rows += [(8, "So, what is 2+2?"), (9, "so what is 2 22"), (10, "What is 2+2")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame([*enumerate(items), (50, "what is 2+2?")], "item_id long, text string")
+    for size in (decontaminate.BLOCK_BYTES, 200):
+        out = decontaminate.find_items(docs, bench, block_bytes=size).collect()
+        assert len(out) == len(rows)
+        assert sorted(r["item_ids"] for r in out if r["doc_id"] is None) == [[i] for i in range(6)]
+        assert sorted((r["item_ids"], r["min_edits"]) for r in out if r["doc_id"] == 7 and r["contaminated"]) == [([0], 0), ([0], 2)]
+        assert sorted(r["doc_id"] for r in out if r["item_ids"] == [50]) == [8, 10]
+        kept = sorted((r["doc_id"], r["text"]) for r in decontaminate.drop_contaminated(docs, bench, block_bytes=size).collect())
+        assert kept == [(7, "nothing here"), (9, "so what is 2 22")]
+
+
 # -- 10: repeated strings ---------------------------------------------------------------------
 
 
