@@ -1,4 +1,4 @@
-"""Interval operators: merge per key, count overlaps per key. Both sort; neither forms pairs."""
+"""Interval operators: merge, count overlaps, count containment, all per key. They sort; none forms pairs."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from tallyreel.operators.split_window import (
     PriorMax,
     RunningSum,
     carried_columns,
+    find_hot_groups,
     ordered_columns,
     place_in_pieces,
 )
@@ -128,3 +129,44 @@ def overlap_partners(
         (F.col("open_flagged") - F.col("step_flagged")).alias("flagged_partners"),
         (F.col("open_all") - 1 - (F.col("open_flagged") - F.col("step_flagged"))).alias("other_partners"),
     )
+
+
+def containing_pairs(
+    outer: DataFrame,
+    inner: DataFrame,
+    key: str,
+    ident: str,
+    outer_span: tuple[str, str],
+    inner_span: tuple[str, str],
+    hot: HotGroups | None = None,
+) -> DataFrame:
+    """(key, pairs): how often an outer span of the key strictly contains an inner one, start and end.
+
+    Offline counting in two dimensions. Outer spans are ranked by end, and an inner span's end falls
+    behind m of them. The ranks above m are the union of at most one dyadic block for each bit of
+    m that is zero, so each outer span is posted in the blocks of its set bits and each inner span
+    asks the blocks of its unset ones. Within a block a running count over starts answers. Rows grow by
+    the logarithm of a key's spans instead of one for each pair.
+    """
+    (o_start, o_end), (i_start, i_end) = outer_span, inner_span
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+
+    def points(df: DataFrame, start: str, end: str, step: Column) -> DataFrame:
+        # Ends of outer spans count before an equal inner end; at equal starts the inner span asks first.
+        return df.select(key, F.col(ident).alias("_id"), F.col(start).alias("_start"), F.col(end).alias("_end"), step.alias("_step"))
+
+    asked = inner.select(key).distinct()
+    spans = points(outer.join(asked, key, "left_semi"), o_start, o_end, one).unionByName(points(inner, i_start, i_end, none))
+    spans = spans.withColumn("_asks", 1 - F.col("_step"))
+    ranked = ordered_columns(spans, [key], ["_end", "_asks", "_id"], {"_rank": RunningSum("_step")}, hot)
+    most = ranked.agg(F.coalesce(F.max("_rank"), F.lit(0))).scalar()
+    level = F.explode(F.sequence(F.lit(0), F.length(F.bin(most)) - 1))
+    levelled = ranked.withColumn("_level", level)
+    # Only odd blocks are ever asked for.
+    block = F.expr("shiftright(_rank, _level) + _asks")
+    levelled = levelled.withColumn("_block", block).filter("_block % 2 = 1")
+    levelled = levelled.withColumn("_asks_first", -F.col("_asks"))
+    blocks = [key, "_level", "_block"]
+    wide = find_hot_groups(levelled, blocks, hot.max_rows) if hot is not None and hot.max_rows else None
+    counted = ordered_columns(levelled, blocks, ["_start", "_asks_first", "_id"], {"_before": RunningSum("_step")}, wide)
+    return counted.filter("_asks = 1").groupBy(key).agg(F.sum("_before").alias("pairs"))

@@ -66,6 +66,8 @@ class HotGroups:
     keys: DataFrame
     columns: tuple[str, ...]
     pieces: int
+    # The row limit itself, for groups that are derived from these.
+    max_rows: int | None = None
 
 
 def find_hot_groups(df: DataFrame, keys: Sequence[str], max_rows: int) -> HotGroups | None:
@@ -125,7 +127,7 @@ def _hot_groups(keys: DataFrame, columns: Sequence[str], groups: int, total: int
     if groups <= BROADCAST_GROUPS:
         keys = F.broadcast(keys)
     # Twice as many pieces as strictly needed, since range bounds come from a sample.
-    return HotGroups(keys, tuple(columns), max(2, math.ceil(2 * total / max_rows)))
+    return HotGroups(keys, tuple(columns), max(2, math.ceil(2 * total / max_rows)), max_rows)
 
 
 def _same_keys(left: str, right: str, pairs: Sequence[tuple[str, str]]) -> Column:

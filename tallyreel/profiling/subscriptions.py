@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyreel.functions.numeric import round_half_away
 from tallyreel.functions.timestamps import parse_naive
-from tallyreel.operators.intervals import overlap_partners
+from tallyreel.operators.intervals import containing_pairs, overlap_partners
 from tallyreel.operators.paths import counted_paths
 from tallyreel.operators.split_window import HotGroups
 from tallyreel.plans.marts_data import ENDED_STATES, PAID_PLANS
@@ -208,7 +208,7 @@ def concurrent_paid(changes: DataFrame, hot: HotGroups | None) -> DataFrame:
 
     A log whose first ending precedes its first activation gives a reversed span. Two reversed
     spans never overlap, and a reversed one overlaps exactly the proper ones that contain it, so
-    those few are joined while the sweep counts the rest.
+    those are counted block by block while the sweep counts the rest.
     """
     # Fixed value: end of a subscription that never ended.
     never = F.to_timestamp_ntz(F.lit("2099-01-01 00:00:00"))
@@ -227,16 +227,10 @@ def concurrent_paid(changes: DataFrame, hot: HotGroups | None) -> DataFrame:
     swept = overlap_partners(
         proper, "user_id", "subscription_id", "active_from", "active_to", "flag", False, hot
     ).select("user_id", F.col("flagged_partners").alias("pairs"))
-    reversed_spans = active.filter(F.col("active_from") >= F.col("active_to")).alias("r")
-    containing = (
-        reversed_spans.join(
-            proper.alias("p"),
-            (F.col("r.user_id") == F.col("p.user_id"))
-            & (F.col("p.active_from") < F.col("r.active_to"))
-            & (F.col("r.active_from") < F.col("p.active_to")),
-        )
-        .groupBy(F.col("r.user_id").alias("user_id"))
-        .agg(row_count().alias("pairs"))
+    reversed_spans = active.filter(F.col("active_from") >= F.col("active_to"))
+    # A reversed span reaches from its end to its start.
+    containing = containing_pairs(
+        proper, reversed_spans, "user_id", "subscription_id", ("active_from", "active_to"), ("active_to", "active_from"), hot
     )
     per_user = swept.unionByName(containing).groupBy("user_id").agg(F.sum("pairs").alias("pairs"))
     return per_user.agg(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyreel.operators import split_window
 from tallyreel.operators.history import scd2_windows
-from tallyreel.operators.intervals import label_islands, overlap_partners, overlapping_after_merge
+from tallyreel.operators.intervals import containing_pairs, label_islands, overlap_partners, overlapping_after_merge
 from tallyreel.operators.split_window import (
     Lag,
     Lead,
@@ -185,3 +185,21 @@ def test_hot_keys_of_all_columns_at_once(spark, monkeypatch):
                 total = sum(n for n in counts[name].values() if n > 900)
                 assert found[name].pieces == max(2, -(-2 * total // 900))
     assert split_window.find_hot_keys(df, {"x": ("x", "string")}, 5000) == {"x": None}
+
+
+@pytest.mark.parametrize("limit", [6, 1000])
+def test_containing_pairs(spark, limit):
+    """Counts of containment equal trying all pairs; hot keys and hot blocks are cut alike."""
+    draw = random.Random(14)
+    outer = [(draw.choice("aab"), i, lo := draw.randrange(40), lo + draw.randrange(1, 30)) for i in range(90)] + [("z", 1, 0, 99)]
+    inner = [(draw.choice("aabc"), 1000 + i, lo := draw.randrange(40), lo + draw.randrange(8)) for i in range(60)]
+    want = Counter()
+    for k, _, a, b in inner:
+        want[k] += sum(1 for j, _, c, d in outer if j == k and c < a and b < d)
+    schema = "k string, id int, lo int, hi int"
+    left, right = spark.createDataFrame(outer, schema), spark.createDataFrame(inner, schema)
+    hot = find_hot_groups(left.unionByName(right), ["k"], limit)
+    assert (hot is not None) == (limit == 6)
+    got = containing_pairs(left, right, "k", "id", ("lo", "hi"), ("lo", "hi"), hot)
+    assert {r["k"]: r["pairs"] for r in got.collect()} == dict(want)
+    assert containing_pairs(left, right.limit(0), "k", "id", ("lo", "hi"), ("lo", "hi")).count() == 0
