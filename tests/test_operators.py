@@ -164,6 +164,15 @@ def test_candidates_of_the_period_index(spark, length):
 # ------------------------------------------------------------------ quantiles
 
 
+@pytest.mark.parametrize("few", [False, True])
+def test_quantiles_count_values_once(spark, tmp_path, few):
+    spark.range(2000).selectExpr("'g' || id % 3 g", "id * 7919 % 311 v").write.parquet(str(tmp_path / "t"))
+    result = exact_quantiles(spark.read.parquet(str(tmp_path / "t")), "g", "v", [0.1, 0.5, 0.9], few)
+    assert result.count() == 9 and len(result.collect()) == 9
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert plan[: plan.index("Initial Plan")].count("FileScan") == 1
+
+
 @pytest.mark.parametrize("n", [1, 2, 5, 997])
 def test_exact_quantiles(spark, n):
     values = [float((i * 7919) % 311) / 7 for i in range(n)]
