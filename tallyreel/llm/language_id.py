@@ -4,8 +4,9 @@ Every learned language has a raw-content zstandard dictionary made of its own te
 compressed against each of them; the language whose dictionary leaves the fewest bytes wins. Where
 the runner-up is almost as short, the answer is marked as rejected.
 
-Training reads a bounded sample of labelled rows: per language the ``per_language`` distinct texts
-with the smallest hash, of each a slice of ``slice_chars`` characters. Prediction reads whole texts,
+Training takes a bounded sample of labelled rows: per language the ``per_language`` distinct texts with the
+smallest hash. Each gives ``slice_chars`` characters from a place that its hash picks anywhere in the
+whole text, so that no common opening of texts fills a dictionary. Prediction reads whole texts,
 in blocks of ``BLOCK`` bytes that are compressed one by one and summed, so that a long text keeps
 meeting the dictionary and memory stays flat. On both sides case is lowered, and whatever stands between
 letters becomes one space: signs and digits tell nothing of the language.
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 
 UNKNOWN = "und"
 BLOCK = 16 << 10
+SLOTS = 64
 LEVEL = 8
 # Bytes by which a runner-up must be longer to be e times less likely.
 TEMPERATURE = 8.0
@@ -43,11 +45,17 @@ def plain(text: str) -> bytes:
 def learn(labelled: DataFrame, per_language: int = 512, slice_chars: int = 1024) -> dict[str, bytes]:
     """Dictionaries by language from rows (text, lang): at most per_language x slice_chars characters each."""
     rows = labelled.filter("text is not null and lang is not null").withColumn("_h", F.xxhash64("text"))
-    order = Window.partitionBy("lang").orderBy("_h")
-    chosen = rows.groupBy("lang", "_h").count().withColumn("_n", F.row_number().over(order))
-    chosen = chosen.filter(F.col("_n") <= per_language).select("lang", "_h")
+    chosen = rows.groupBy("lang", "_h").count().withColumn("_slot", F.pmod("_h", F.lit(SLOTS)))
+    # First within slots of a language, so that its last choice is among a bounded number, whatever its rows.
+    for keys in (["lang", "_slot"], ["lang"]):
+        order = Window.partitionBy(*keys).orderBy("_h")
+        chosen = chosen.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_language)
+    chosen = chosen.select("lang", "_h")
+    slices = F.ceil(F.length("text") / slice_chars)
+    start = F.pmod(F.shiftright("_h", 7), F.greatest(slices, F.lit(1))) * slice_chars + 1
     # At most per_language rows a language; copies of one text come once.
-    picked = rows.join(F.broadcast(chosen), ["lang", "_h"]).select("lang", "_h", F.substring("text", 1, slice_chars).alias("part"))
+    part = F.substring(F.col("text"), start.cast("int"), F.lit(slice_chars))
+    picked = rows.join(F.broadcast(chosen), ["lang", "_h"]).select("lang", "_h", part.alias("part"))
     picked = picked.groupBy("lang", "_h").agg(F.min("part").alias("part"))
     texts: dict[str, list[str]] = {}
     for row in picked.orderBy("lang", "_h").collect():
