@@ -1,7 +1,8 @@
 """Shards along a Hilbert curve over several metadata dimensions.
 
-Each dimension is cut at quantiles of all rows into at most 2^bits cells; a text dimension is read as
-the number its first bytes spell, which keeps its sort order. The cells are the coordinates of a
+Each dimension is cut at quantiles of all rows into at most 2^bits cells. Numbers are cut at sketched
+quantiles; whole texts at exact ones, from their distinct values with counts, ranked by a range exchange.
+The cells are the coordinates of a
 point on a Hilbert curve. Rows are sorted by the curve index, then by the tie columns, and cut into
 runs of equal row counts (law ``rows``): neighbours on the curve share a file, so its minimum and
 maximum are narrow in every dimension and a filter on any of them skips most files.
@@ -20,7 +21,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -57,31 +58,55 @@ def curve_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return index
 
 
-def ordinal(df: DataFrame, column: str) -> Column:
-    """A number in the order of the column's values; -1 for NULL."""
-    if isinstance(df.schema[column].dataType, StringType):
-        first = F.rpad(F.hex(F.substring(F.col(column).cast("binary"), 1, 7)), 14, "0")
-        return F.coalesce(F.conv(first, 16, 10).cast("double"), F.lit(-1.0))
-    return F.coalesce(F.col(column).cast("double"), F.lit(-1.0))
+def text_fences(df: DataFrame, column: str, cells: int) -> list[str]:
+    """The values at which the ranks of all rows, ordered by a text column, reach each 1 / cells; at most cells - 1."""
+    counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+    ranged = settle(counts.repartitionByRange("value").withColumn("part", F.spark_partition_id()))
+    totals = ranged.groupBy("part").agg(F.sum("n").alias("n"), F.min("value").alias("low")).orderBy("low").collect()  # one row a range
+    total = sum(r["n"] for r in totals)
+    before, starts = 0, []
+    for row in totals:
+        starts.append((row["part"], before))
+        before += row["n"]
+    if not starts:
+        return []
+    offsets = F.broadcast(df.sparkSession.createDataFrame(starts, "part int, before long"))
+    upto = F.sum("n").over(Window.partitionBy("part").orderBy("value")) + F.col("before")
+    ranked = ranged.join(offsets, "part").select("value", "n", upto.alias("upto"))
+    # The cell of a value's last row, where its first row lies in an earlier one.
+    cell = F.floor(F.col("upto") * cells / total)
+    ends = ranked.filter(cell > F.floor((F.col("upto") - F.col("n")) * cells / total))
+    return sorted(r["value"] for r in ends.select("value").collect())[: cells - 1]
 
 
 def hilbert_order(df: DataFrame, dimensions: Sequence[str], bits: int = 8) -> DataFrame:
     """``df`` with a column ``curve``: the Hilbert index of its quantised dimensions."""
     if not 0 < bits * len(dimensions) < 63:
         raise ValueError("bits x dimensions has to fit a long")
-    values = [ordinal(df, c) for c in dimensions]
+    texts = [isinstance(df.schema[c].dataType, StringType) for c in dimensions]
+    values = [F.col(c) if text else F.coalesce(F.col(c).cast("double"), F.lit(-1.0)) for c, text in zip(dimensions, texts, strict=True)]
     cuts = [i / (1 << bits) for i in range(1, 1 << bits)]
-    edges = df.select(*(F.percentile_approx(v, cuts, 10_000).alias(f"e{i}") for i, v in enumerate(values))).first()
-    # At most 2^bits - 1 numbers a dimension.
-    fences = [np.unique(np.array(e or [], np.float64)) for e in edges]
+    numbers = [F.percentile_approx(v, cuts, 10_000).alias(f"e{i}") for i, v in enumerate(values) if not texts[i]]
+    edges = iter(df.select(*numbers).first() if numbers else [])
+    # At most 2^bits - 1 values a dimension.
+    fences = [
+        np.array(text_fences(df, c, 1 << bits), object) if text else np.unique(np.array(next(edges) or [], np.float64))
+        for c, text in zip(dimensions, texts, strict=True)
+    ]
 
     @F.pandas_udf("long")
     def index(*columns: pd.Series) -> pd.Series:
-        cells = [
+        cells = []
+        for f, c, text in zip(fences, columns, texts, strict=True):
+            if text:
+                # NULL lies below all texts.
+                known = c.notna().to_numpy()
+                cell = np.zeros(len(c), np.int64)
+                cell[known] = 1 + np.searchsorted(f, c[known].to_numpy(object), side="left")
+            else:
+                cell = np.searchsorted(f, c.to_numpy(np.float64), side="right")
             # A dimension with few values still spreads over the whole side of the cube.
-            (np.searchsorted(f, c.to_numpy(np.float64), side="right") << bits) // (len(f) + 1)
-            for f, c in zip(fences, columns, strict=True)
-        ]
+            cells.append((cell << bits) // (len(f) + 1 + text))
         return pd.Series(curve_index(np.stack(cells, axis=1), bits))
 
     return df.withColumn("curve", index(*values))

@@ -79,6 +79,16 @@ def test_language_id_learns_and_rejects(spark):
     assert {r["lang_pred"] for r in language_id.predict(asked, {}).collect()} == {"und"}
 
 
+def test_a_common_opening_fills_no_dictionary(spark):
+    rng = random.Random(15)
+    header = "all rights reserved " * 60
+    rows = [(i, header + " ".join(rng.choices(stock, k=900)), lang) for i in range(60)
+            for lang, stock in (("aa", ["lormip", "sudtek"]), ("bb", ["quazei", "xonvir"]))]
+    model = language_id.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), slice_chars=1024)
+    for lang, own, other in (("aa", b"lormip", b"quazei"), ("bb", b"quazei", b"lormip")):
+        assert model[lang].count(own) > 1000 > model[lang].count(b"reserved") and other not in model[lang]
+
+
 # -- 2: quality by co-training ----------------------------------------------------------------
 
 
@@ -483,6 +493,23 @@ def test_written_shards_are_narrow(spark, tmp_path):
     assert len(bounds) == 16 and all(r["w"] < 600 and r["n"] <= 10 for r in spans)
 
 
+def test_text_dimensions_are_cut_by_whole_values(spark):
+    names = [f"https://a.very.long.common.head/{i:02d}" for i in range(12)]
+    rows = [(n, names[n % 12] if n % 5 else names[0]) for n in range(600)] + [(n, None) for n in range(600, 620)]
+    df = spark.createDataFrame(rows, "doc_id long, source string").repartition(3)
+    assert hilbert.text_fences(df, "source", 1 << 8) == names
+    counts = Counter(s for _, s in rows if s)
+    for cells in (2, 4, 8):
+        want, upto = [], 0
+        for name in names:
+            low, upto = upto, upto + counts[name]
+            want += [name] if upto * cells // 600 > low * cells // 600 else []
+        assert hilbert.text_fences(df, "source", cells) == want[: cells - 1]
+    curve = {(r["source"], r["curve"]) for r in hilbert.hilbert_order(df, ["source"]).collect()}
+    assert len(curve) == 13 and [s for s, _ in sorted(curve, key=lambda c: c[1])] == [None, *names]
+    assert hilbert.text_fences(df.filter("source is null"), "source", 8) == []
+
+
 # -- 9: decontamination -----------------------------------------------------------------------
 
 
