@@ -135,7 +135,8 @@ def withdraw(spark: SparkSession, namespace: str, table: str) -> None:
 
 def _prune(spark: SparkSession, namespace: str, table: str, least: str | None) -> None:
     """Delete the versions written before ``least``, or all."""
-    rows = spark.sql(f"SHOW TABLES IN {namespace}{VERSIONS}").collect()
+    # The list also names temporary views of the session.
+    rows = spark.sql(f"SHOW TABLES IN {namespace}{VERSIONS}").filter("not isTemporary").collect()
     for name in sorted(r["tableName"] for r in rows):
         if name.startswith(f"{table}__") and (least is None or name < least.lower()):
             place = spark.sql(f"DESCRIBE TABLE EXTENDED {namespace}{VERSIONS}.{name}").filter("col_name = 'Location'").collect()
