@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -31,6 +32,8 @@ def settle(df: DataFrame) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage and survives a lost executor."""
     path = f"{shared_folder(df.sparkSession)}/llm/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    # Plans that Python no longer needs are kept by the JVM until their handles here are gone.
+    gc.collect()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
