@@ -1,21 +1,25 @@
 """Approximate nearest neighbours by a permutation index.
 
 A vector is described by the order of its nearest pivots. Its posting goes into the inverted files
-of its first ``posted`` pivots; a query reads the files of its first ``probed`` pivots, ranks what it
-finds there by the footrule distance of the pivot orders, and reranks the better half of each
-file (at least 1,000) by exact cosine in double precision.
+of its first ``POSTED`` pivots; a query reads the files of its first ``PROBED`` pivots, meets each
+vector in the first of them that holds it, and ranks by the footrule distance of the pivot orders. What
+lies within the query's cutoff is reranked by exact cosine in double precision.
 
 Equal vectors are one index entry that names its smallest ids, so groups of copies cost one posting.
-Pivots are the index entries with the smallest hashes, about twice the square root of the number of
-entries and at most ``MAX_PIVOTS``; they alone are sent to all tasks. Files longer than ``FILE_ROWS``
-are cut into numbered parts, which go to different tasks, and queries visit every part.
+Pivots are the entries with the smallest hashes, about twice the square root of the number of
+entries; they alone are sent to all tasks. Being a sample, they also set the cutoff: the footrule distance
+of the query's ``CUTOFF``-th nearest pivot. So about ``CUTOFF / pivots`` of all entries are reranked: a share
+that falls with the square root of the table, by one rule at every size. Files longer than ``FILE_ROWS`` are
+cut into parts and their queries into blocks, and every block meets every part.
 
 Every query finds at least ``k`` neighbours if so many candidates exist: a pivot stands in its own
-file, so ``probed`` files hold at least so many entries, and with fewer pivots all files are read.
+file and is reranked there whatever its distance; with fewer pivots all entries are reranked.
 
 Rows: vectors that are NULL, zero, or hold NULL or non-finite components take no part, neither do
-vectors of another length than most. Ties of the cosine go to the smaller id. Repeated ids are
-rows of their own; a query leaves out rows with its own id. An empty table gives no rows.
+vectors of another length than most, nor rows without an id. Ties of the cosine go to the smaller id.
+Candidates are rows: an id that stands in several may take several ranks. A query is an id: all rows
+with its own id are left out, and if they hold different vectors, a candidate counts by its best cosine with
+any of them. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,15 +35,13 @@ from pyspark.sql import functions as F
 
 from tallyreel.llm.common import settle
 
-MAX_PIVOTS = 4096
 PIVOTS_PER_ROOT = 2.0
-PERMUTATION = 32
-POSTED = 16
-PROBED = 32
-# Entries of a file that are reranked: this share, and at least so many.
-RERANK_SHARE, RERANK_LEAST = 0.5, 1000
+PERMUTATION = 48
+POSTED = 24
+PROBED = 48
+# Entries are reranked up to the footrule distance of the pivot of this rank.
+CUTOFF = 48
 FILE_ROWS = 8192
-QUERY_BLOCK = 64
 
 
 def usable(embedding: str) -> Column:
@@ -51,14 +53,21 @@ def usable(embedding: str) -> Column:
 
 
 def entries(vectors: DataFrame, k: int) -> DataFrame:
-    """(entry, vector, ids): distinct vectors, with their k + 1 smallest ids; ``entry`` is the smallest."""
+    """(entry, vector, first, only, ids): distinct vectors with their k + 1 smallest distinct ids.
+
+    ``ids`` holds (vec_id, copies), at most k copies each; ``first`` is the smallest id, ``only`` the id
+    of a vector that has one id. ``entry`` is a number of its own, fixed once the rows are written.
+    """
     rows = vectors.filter(usable("vector") & F.col("vec_id").isNotNull())
     lengths = rows.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").first()
     rows = rows.filter(F.size("vector") == (lengths["n"] if lengths else 0))
+    counted = rows.groupBy("vector", F.col("vec_id").cast("long").alias("vec_id")).agg(F.least(F.count(F.lit(1)), F.lit(k)).alias("copies"))
     order = Window.partitionBy("vector").orderBy("vec_id")
-    few = rows.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= k + 1)
-    few = few.groupBy("vector").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
-    return few.select(F.get("ids", F.lit(0)).alias("entry"), "vector", "ids")
+    few = counted.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= k + 1)
+    few = few.groupBy("vector").agg(F.array_sort(F.collect_list(F.struct("vec_id", "copies"))).alias("ids"))
+    first = F.col("ids")[0]["vec_id"]
+    only = F.when(F.size("ids") == 1, first)
+    return few.select(F.monotonically_increasing_id().alias("entry"), "vector", first.alias("first"), only.alias("only"), "ids")
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -115,71 +124,136 @@ def cosine(query: np.ndarray, others: np.ndarray) -> np.ndarray:
     return (o * q).sum(axis=1) / (np.sqrt((o * o).sum(axis=1)) * np.sqrt((q * q).sum()))
 
 
-RESULT = "query long, entry long, score double"
+RESULT = "query long, entry long, first long, only long, score double"
+DTYPES = {"query": "int64", "entry": "int64", "first": "int64", "only": "Int64", "score": "float64"}
+
+
+def with_cutoff(asked: DataFrame, pivot_orders: np.ndarray) -> DataFrame:
+    """``asked`` with the footrule distance up to which each query reranks."""
+    count = len(pivot_orders)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            cutoff = np.full(len(batch), np.iinfo(np.int32).max, np.int32)
+            if count > CUTOFF:
+                for at, order in enumerate(batch["order"]):
+                    distances = footrule(np.asarray(order)[None], pivot_orders, count)[0]
+                    cutoff[at] = np.partition(distances, CUTOFF - 1)[CUTOFF - 1]
+            yield batch.assign(cutoff=cutoff)
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in asked.schema.fields)
+    return asked.mapInPandas(run, f"{fields}, cutoff int")
+
+
+def leaders(scores: np.ndarray, first: np.ndarray, single: np.ndarray, k: int) -> list[int]:
+    """Places of the best entries, best first, that suffice for k rows of other ids, whatever the query's id.
+
+    An entry with several ids counts for itself; ``single`` ones of the same id count together, and k are enough.
+    """
+    kept: list[int] = []
+    held: dict[int, int] = {}
+    groups = 0
+    for at in np.lexsort((first, -scores)).tolist():
+        before = held.get(first[at], 0) if single[at] else 0
+        if not before:
+            if groups == k + 1:
+                break
+            groups += 1
+        if single[at]:
+            held[first[at]] = before + 1
+        if before < k:
+            kept.append(at)
+    return kept
 
 
 def _search(key, asked: pd.DataFrame, file: pd.DataFrame, pivots: int, k: int) -> pd.DataFrame:
+    """Best entries of one part of a file for one block of its queries; each pair meets in one file."""
+    empty = pd.DataFrame({c: pd.Series(dtype=t) for c, t in DTYPES.items()})
     if not len(asked) or not len(file):
-        return pd.DataFrame({"query": pd.Series(dtype="int64"), "entry": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
-    file = file.sort_values("entry", ignore_index=True)
+        return empty
+    pivot = key[0]
     orders, vectors = np.stack(file["order"].to_numpy()), np.stack(file["vector"].to_numpy()).astype(np.float64)
-    names = file["entry"].to_numpy()
-    reranked = max(RERANK_LEAST, math.ceil(RERANK_SHARE * len(file)))
-    found = []
-    for start in range(0, len(asked), QUERY_BLOCK):
-        block = asked.iloc[start : start + QUERY_BLOCK]
-        distances = footrule(np.stack(block["order"].to_numpy()), orders, pivots)
-        for row, (query, vector) in enumerate(zip(block["entry"], block["vector"], strict=True)):
-            best = np.argsort(distances[row], kind="stable")[:reranked]
-            scores = cosine(np.asarray(vector, np.float64), vectors[best])
-            top = np.lexsort((names[best], -scores))[: k + 1]
-            found.append(pd.DataFrame({"query": query, "entry": names[best][top], "score": scores[top]}))
+    names, first = file["entry"].to_numpy(), file["first"].to_numpy()
+    # An entry with one id is known by it, which is its first.
+    single = file["only"].notna().to_numpy()
+    posted, own = orders[:, :POSTED], (file["number"] == pivot).to_numpy(bool, na_value=False)
+    found = [empty]
+    for query, vector, order, cutoff in zip(asked["entry"], asked["vector"], asked["order"], asked["cutoff"], strict=True):
+        order = np.asarray(order)
+        place = np.full(pivots, PROBED, np.int32)
+        place[order[:PROBED]] = np.arange(len(order[:PROBED]))
+        here = place[posted].min(axis=1) == place[pivot]
+        near = footrule(order[None], orders[here], pivots)[0] <= cutoff
+        at = np.flatnonzero(here)[near | own[here]]
+        scores = cosine(np.asarray(vector, np.float64), vectors[at])
+        top = leaders(scores, first[at], single[at], k)
+        at = at[top]
+        only = pd.array(np.where(single[at], first[at], 0), "Int64")
+        only[~single[at]] = pd.NA
+        found.append(pd.DataFrame({"query": query, "entry": names[at], "first": first[at], "only": only, "score": scores[top]}))
     return pd.concat(found, ignore_index=True)
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest found of each query, itself left out.
+    """(query_id, rank, vec_id, score): the k nearest found of each query, rows of its own id left out.
 
     ``vectors``: (vec_id, vector), all candidates. ``queries``: (vec_id), ids of rows among them.
+    The driver and every task hold about twice the square root of the number of vectors.
     """
+    spark = vectors.sparkSession
     table = settle(entries(vectors, k))
     total = table.count()
-    wanted = max(1, min(total, MAX_PIVOTS, math.ceil(PIVOTS_PER_ROOT * math.sqrt(total))))
-    rows = table.withColumn("_h", F.xxhash64("vector")).orderBy("_h", "entry").limit(wanted).collect()
-    pivots = _unit(np.array([r["vector"] for r in rows], np.float64)) if rows else np.zeros((0, 1))
-    spark = vectors.sparkSession
+    wanted = max(1, min(total, math.ceil(PIVOTS_PER_ROOT * math.sqrt(total))))
+    rows = table.withColumn("_h", F.xxhash64("vector")).orderBy("_h", "first", "entry").limit(wanted).select("entry", "vector").collect()
     if not rows:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    described = settle(describe(table, pivots))
+    pivots = _unit(np.array([r["vector"] for r in rows], np.float64))
+    count = len(pivots)
+    described = settle(describe(table.drop("ids"), pivots))
+    numbers = spark.createDataFrame([(r["entry"], i) for i, r in enumerate(rows)], "entry long, number int")
+    described = described.join(F.broadcast(numbers), "entry", "left")
+    placed = described.filter("number IS NOT NULL").select("number", "order").collect()
+    pivot_orders = np.array([r["order"] for r in sorted(placed, key=lambda r: r["number"])], np.int32)
 
     def filed(df: DataFrame, lists: int) -> DataFrame:
-        return df.select("entry", "vector", "order", F.explode(F.slice("order", 1, lists)).alias("pivot"))
-
-    # Entries a pivot's file holds, and the parts it is cut into: one number a pivot.
-    sizes = described.select(F.explode(F.slice("order", 1, POSTED)).alias("pivot")).groupBy("pivot").count()
-    cut = sizes.withColumn("parts", F.ceil(F.col("count") / FILE_ROWS).cast("int")).select("pivot", "parts")
-    cut = F.broadcast(spark.createDataFrame(cut.collect(), "pivot int, parts int"))
-    posted = filed(described, POSTED).join(cut, "pivot")
-    posted = posted.withColumn("part", F.pmod(F.xxhash64("entry"), F.col("parts")).cast("int")).drop("parts")
-
-    asked_rows = queries.select("vec_id").distinct().join(vectors.select("vec_id", "vector"), "vec_id")
-    asked_rows = asked_rows.join(table.select("entry", "vector"), "vector").select(F.col("vec_id").alias("query_id"), F.col("entry").alias("query"))
-    asked_rows = settle(asked_rows)
+        return df.withColumn("pivot", F.explode(F.slice("order", 1, lists)))
+
+    def per_pivot(df: DataFrame, lists: int, name: str) -> DataFrame:
+        sizes = filed(df.select("order"), lists).groupBy("pivot").count()
+        return sizes.select("pivot", F.ceil(F.col("count") / FILE_ROWS).cast("int").alias(name))
+
+    # Every vector of an asked id is a query; equal vectors ask once.
+    asked_rows = queries.select("vec_id").distinct().join(vectors.select("vec_id", "vector"), "vec_id").distinct()
+    asked_rows = asked_rows.join(table.select("entry", "vector"), "vector")
+    asked_rows = settle(asked_rows.select(F.col("vec_id").cast("long").alias("query_id"), F.col("entry").alias("query")))
     asked = described.join(asked_rows.select(F.col("query").alias("entry")).distinct(), "entry", "left_semi")
-    asked = filed(asked, PROBED).join(cut, "pivot")
-    asked = settle(asked.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts"))
+    asked = settle(with_cutoff(asked.select("entry", "vector", "order"), pivot_orders))
 
-    count = len(pivots)
+    # One row a pivot: the parts its file is cut into, the blocks its queries are cut into.
+    cut = per_pivot(described, POSTED, "parts").join(per_pivot(asked, PROBED, "blocks"), "pivot")
+    cut = F.broadcast(spark.createDataFrame(cut.collect(), "pivot int, parts int, blocks int"))
+
+    def split(df: DataFrame, own: str, other: str) -> DataFrame:
+        """Rows fall into one of their own pieces and meet each of the other side's."""
+        mine = F.pmod(F.xxhash64("entry"), F.col(own)).cast("int")
+        return df.withColumns({own: mine, other: F.explode(F.sequence(F.lit(0), F.col(other) - 1))})
+
+    posted = split(filed(described, POSTED).join(cut, "pivot"), "parts", "blocks")
+    probing = split(filed(asked, PROBED).join(cut, "pivot"), "blocks", "parts")
+    keys = ["pivot", "parts", "blocks"]
     found = (
-        asked.groupBy("pivot", "part")
-        .cogroup(posted.groupBy("pivot", "part"))
-        .applyInPandas(lambda key, a, f: _search(key, a, f, count, k), RESULT)
+        probing.groupBy(*keys).cogroup(posted.groupBy(*keys)).applyInPandas(lambda key, a, f: _search(key, a, f, count, k), RESULT)
     )
-    best = found.dropDuplicates(["query", "entry"])
-    order = Window.partitionBy("query").orderBy(F.desc("score"), "entry")
-    best = best.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= k + 1).drop("_n")
-    named = best.join(table.select("entry", "ids"), "entry").select("query", "score", F.explode("ids").alias("vec_id"))
+    # The same choice as within a file, over all files.
+    best_first = [F.desc("score"), "first", "entry"]
+    group = [F.col("only").isNull(), F.coalesce("only", "entry")]
+    best = found.withColumn("_n", F.row_number().over(Window.partitionBy("query", *group).orderBy(*best_first))).filter(F.col("_n") <= k)
+    groups = F.sum((F.col("_n") == 1).cast("int")).over(Window.partitionBy("query").orderBy(*best_first))
+    best = best.withColumn("_groups", groups).filter(F.col("_groups") <= k + 1)
+    named = best.join(table.select("entry", "ids"), "entry").select("query", "entry", "score", F.inline("ids"))
     answers = asked_rows.join(named, "query").filter("vec_id <> query_id")
+    answers = answers.groupBy("query_id", "entry", "vec_id", "copies").agg(F.max("score").alias("score"))
+    answers = answers.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = answers.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -289,6 +289,40 @@ def test_permutation_index_of_few_rows(spark):
     assert permutation_index.nearest(vectors.limit(0), vectors.limit(0).select("vec_id")).count() == 0
 
 
+def answers(df):
+    got = {}
+    for r in sorted(df.collect(), key=lambda r: (r["query_id"], r["rank"])):
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    return got
+
+
+def test_permutation_index_of_repeated_ids(spark):
+    same, near, far = [1.0, 0.0], [1.0, 0.1], [0.0, 1.0]
+    rows = [(1, same)] * 7 + [(9, same), (10, near), (11, far), (12, far), (12, far)]
+    got = answers(permutation_index.nearest(vectors := spark.createDataFrame(rows, "vec_id long, vector array<double>"), vectors.select("vec_id")))
+    assert got[1] == [9, 10, 11, 12, 12]
+    assert got[9] == [1] * 5 and got[10] == [1] * 5
+    assert got[11] == [12, 12, 10, 1, 1] and got[12] == [11, 10, 1, 1, 1]
+
+
+def test_permutation_index_of_an_id_with_many_vectors(spark):
+    # Eight vectors of id 1 lie nearest to each other and must not use up its places.
+    rows = [(1, [1.0, 0.001 * i]) for i in range(8)] + [(2, [1.0, 0.5]), (3, [1.0, 0.6]), (4, [0.0, 1.0]), (4, [1.0, 0.0035])]
+    vectors = spark.createDataFrame(rows, "vec_id long, vector array<double>")
+    got = answers(permutation_index.nearest(vectors, vectors.select("vec_id")))
+    assert got[1] == [4, 2, 3, 4] and got[2] == [3, 1, 1, 1, 1]
+
+
+def test_permutation_index_in_parts_and_blocks(spark, monkeypatch):
+    monkeypatch.setattr(permutation_index, "FILE_ROWS", 300)
+    x = np.random.default_rng(5).normal(size=(6000, 12))
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, vector array<double>")
+    got = answers(permutation_index.nearest(vectors, vectors.filter("vec_id % 50 = 0").select("vec_id")))
+    assert set(got) == set(range(0, 6000, 50)) and all(len(set(g)) == 5 for g in got.values())
+    hits = sum(len(set(g) & set(brute_neighbours(list(range(6000)), x, q))) for q, g in got.items())
+    assert hits >= 0.9 * 5 * len(got)
+
+
 # -- 5: token counts --------------------------------------------------------------------------
 
 
