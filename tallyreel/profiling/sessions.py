@@ -11,6 +11,7 @@ from tallyreel.functions.cleaning import numeric_or_null
 from tallyreel.functions.numeric import decile_clamp_then_floor, decile_floor_then_clamp, percent, round_half_away
 from tallyreel.operators.classify import bucketize_labels
 from tallyreel.operators.dedupe import dedupe_first
+from tallyreel.operators.distinct import distinct_counts
 from tallyreel.operators.quantiles import exact_quantiles
 from tallyreel.operators.split_window import HotGroups, Lag, ordered_columns
 from tallyreel.profiling.shared import row_count, stacked, top, with_share
@@ -27,11 +28,11 @@ def _furthest(kind: str) -> Column:
 
 
 def session_volume(events: DataFrame) -> DataFrame:
-    counted = events.agg(
-        F.count_distinct("session_id").alias("sessions"),
-        row_count().alias("events"),
-        F.count_distinct("user_id").alias("distinct_users"),
-        F.count_distinct("asset_id").alias("distinct_assets"),
+    counted = distinct_counts(
+        events,
+        [],
+        {"sessions": "session_id", "distinct_users": "user_id", "distinct_assets": "asset_id"},
+        {"events": F.lit(True)},
     )
     per_session = F.col("events") / F.nullif(F.col("sessions"), F.lit(0))
     return counted.select(
@@ -395,14 +396,11 @@ def resume_or_restart(events: DataFrame, near_start: float = 60.0) -> DataFrame:
 
 
 def user_quantiles(events: DataFrame) -> DataFrame:
-    per_user = (
-        _identified(events)
-        .groupBy("user_id")
-        .agg(
-            F.count_distinct("session_id").alias("sessions"),
-            F.count_distinct("asset_id").alias("assets"),
-            F.count_if(_kind("heartbeat")).alias("heartbeats"),
-        )
+    per_user = distinct_counts(
+        _identified(events),
+        ["user_id"],
+        {"sessions": "session_id", "assets": "asset_id"},
+        {"heartbeats": _kind("heartbeat")},
     )
     # Metric labels.
     metrics = {

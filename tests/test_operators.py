@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyreel.config import EngineConfig, standard_config
 from tallyreel.operators.collapse import collapse_agreeing
 from tallyreel.operators.dedupe import dedupe_first
+from tallyreel.operators.distinct import distinct_counts
 from tallyreel.operators.lookups import flag_unknown, keep_known, orphans
 from tallyreel.operators import paths
 from tallyreel.operators.paths import counted_paths, ordered_paths
@@ -37,6 +38,31 @@ def raw(spark, table, records):
     )
 
 
+# ------------------------------------------------------------------ distinct counts
+
+
+def test_distinct_counts_of_groups_and_of_the_whole(spark):
+    rng = random.Random(3)
+    data = [(rng.choice([None, "a", "b"]), rng.choice([None, *range(9)]), rng.choice([None, "x", "y"]), rng.randrange(4)) for _ in range(500)]
+    data += [("hot", 1, "x", 0)] * 1000 + [("none", None, None, 1)]
+    df = spark.createDataFrame(data, "g string, n int, s string, k int")
+    counted, conditions = {"numbers": "n", "texts": "s"}, {"rows": F.lit(True), "zeros": F.col("k") == 0}
+    direct = [F.count_distinct("n"), F.count_distinct("s"), F.count(F.lit(1)), F.count_if(F.col("k") == 0)]
+    assert rows(distinct_counts(df, ["g"], counted, conditions)) == rows(df.groupBy("g").agg(*direct))
+    assert rows(distinct_counts(df, [], counted, conditions)) == rows(df.agg(*direct))
+    assert rows(distinct_counts(df.limit(0), [], counted, conditions)) == [(0, 0, 0, 0)]
+    assert rows(distinct_counts(df, ["g"], {"groups": "g"}, {})) == rows(df.groupBy("g").agg(F.count_distinct("g")))
+
+
+def test_only_distinct_tuples_are_multiplied(spark):
+    copies = spark.range(0, 20_000, 1, 4).selectExpr("id % 10 s", "id % 10 u", "id % 5 a")
+    out = distinct_counts(copies, [], {"s": "s", "u": "u", "a": "a"}, {"rows": F.lit(True)})
+    assert rows(out) == [(10, 10, 5, 20_000)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    expand = plan[plan.index("Expand") :]
+    assert expand.index("HashAggregate") < expand.index("Range")
+
+
 # ------------------------------------------------------------------ dedupe, collapse, lookups
 
 
