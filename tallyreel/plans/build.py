@@ -89,6 +89,14 @@ DATA_MARTS = ["dim_asset", "dim_subscription_history", "fct_user_paid_spells", "
 PRODUCT_MARTS = ["fct_session_engagement", "fct_user_engagement"]
 # Tables that grow by the day are laid out by day, so that a date filter reads its days only.
 PARTITIONS = {"fct_session": "session_date", "fct_session_engagement": "session_date"}
+# Tables that later ones window, aggregate or join by this column, which then need no exchange. The
+# landed table and the type name the groups that must not be too big for one bucket.
+BUCKETS = {
+    "stg_playback_events": ("session_id", "playback_events", "string"),
+    "dim_subscription_history": ("user_id", "subscriptions", "bigint"),
+    "fct_user_paid_spells": ("user_id", "subscriptions", "bigint"),
+    "dim_user": ("user_id", "subscriptions", "bigint"),
+}
 
 
 class ChecksFailed(Exception):
@@ -177,12 +185,12 @@ def build(
 
     The cleaned events are not a mart, but sessions, checks and the ordered profiles all read
     them, so they are written too, bucketed by session unless some session is too big for one
-    bucket. Staging views of small sources stay lazy.
+    bucket. The tables of users are bucketed by user in the same way. Staging views of small
+    sources stay lazy.
     """
     models = Models(raw, config)
     spark = raw["playback_events"].sparkSession
     size_shuffles(spark, raw.tables.values())
-    buckets = None if raw.hot("playback_events", "session_id") else "session_id"
     for namespace, names in (
         (STAGING_NAMESPACE, ["stg_playback_events"]),
         (DATA_NAMESPACE, DATA_MARTS),
@@ -192,7 +200,8 @@ def build(
         versions = []
         for name in names:
             described = with_comments(getattr(models, name), COLUMNS.get(name, {}))
-            by = buckets if name == "stg_playback_events" else None
+            by, source, kind = BUCKETS.get(name, (None, None, None))
+            by = None if by is None or raw.hot(source, by, kind) else by
             versions.append(write_version(described, namespace, name, folder, PARTITIONS.get(name), by))
             setattr(models, name, versions[-1].read(spark))
         if check:

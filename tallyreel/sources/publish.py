@@ -44,6 +44,13 @@ class Version:
         return spark.table(f"{self.namespace}{VERSIONS}.{self.name}").select(*self.columns)
 
 
+def bucket_count(spark: SparkSession) -> int:
+    """As many buckets as shuffles start with, so that a shuffled side of a join meets the buckets as it is."""
+    shuffles = spark.conf.get("spark.sql.shuffle.partitions")
+    first = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", shuffles)
+    return min(int(first or shuffles), int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
+
+
 def write_version(
     df: DataFrame,
     namespace: str,
@@ -65,7 +72,7 @@ def write_version(
         spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {name}" + (f" LOCATION {quoted(folder)}" if folder else ""))
     if partition_by:
         df = df.hint("rebalance", F.col(partition_by))
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = bucket_count(spark)
     if bucket_by:
         # The same hash as the buckets, so each task writes one file.
         df = df.repartition(buckets, bucket_by)

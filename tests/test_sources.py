@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyreel.config import standard_config
+from tallyreel.plans import marts_data as MD
+from tallyreel.plans import marts_product as MP
 from tallyreel.plans.build import DATA_MARTS, PRODUCT_MARTS, ChecksFailed, Models, build
 from tallyreel.profiling import sequences as SEQ
 from tallyreel.quality import declared as D
@@ -149,6 +151,27 @@ def test_bucketed_events_need_no_shuffle(spark, tmp_path):
     assert profile.collect() == SEQ.divergence_summary(events, None).collect()
 
 
+def test_built_tables_of_users_need_no_shuffle(spark, tmp_path):
+    """Histories, spells and accounts are laid out by user; only staged accounts and session measures move."""
+    raw = landed_sample(spark, SF_DIR)
+    built = build(raw, standard_config(), str(tmp_path / "users"))
+    lazy = Models(raw, standard_config())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        spells = MD.fct_user_paid_spells(built.dim_subscription_history, standard_config(), None)
+        users = MD.dim_user(built.stg_users, built.dim_subscription_history, built.fct_user_paid_spells)
+        engagement = MP.fct_user_engagement(built.dim_user, built.fct_session, standard_config())
+        moved = {}
+        for name, df in (("spells", spells), ("users", users), ("engagement", engagement)):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            moved[name] = plan.count("hashpartitioning(user_id")
+        assert moved == {"spells": 0, "users": 1, "engagement": 2}
+        for df, want in ((spells, lazy.fct_user_paid_spells), (users, lazy.dim_user), (engagement, lazy.fct_user_engagement)):
+            assert df.exceptAll(want).count() == 0 and want.exceptAll(df).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_partitioned_mart_prunes(spark, tmp_path):
     sessions = Models(landed_sample(spark, SF_DIR), standard_config()).fct_session
     written = write_mart(sessions, "by_day", "sessions", str(tmp_path / "p"), partition_by="session_date")
