@@ -53,7 +53,7 @@ def plan(name: str) -> Callable[[Plan], Plan]:
 
 
 def _spark(m: Models) -> SparkSession:
-    return m.raw["users"].sparkSession
+    return m.raw.rates.sparkSession
 
 
 def _events(m: Models) -> DataFrame:

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tallyreel import catalog
 from tallyreel.config import standard_config
 from tallyreel.plans import marts_data as MD
 from tallyreel.plans import marts_product as MP
@@ -50,6 +51,18 @@ def test_land_tables_refreshes(spark):
     assert not spark.catalog.tableExists("raw_test.asset_catalog")
 
 
+def test_a_query_lands_only_what_it_reads(spark, tmp_path):
+    rows = [("1", "7", "2025-03-01"), ("1", "7", "2025-05-01"), ("2", "7", "2025-04-01"), ("2", None, "2025-04-01"), (None, "7", "")]
+    subs = spark.createDataFrame(rows, "subscription_id string, user_id string, event_effective_ts string")
+    empty = {name: spark.createDataFrame([], R.text_schema(columns)) for name, columns in R.RAW_COLUMNS.items()}
+    tables = R.LandedOnDemand({**empty, "subscriptions": subs}, {**empty, "subscriptions": subs}, str(tmp_path), 2)
+    assert set(tables) == set(R.RAW_COLUMNS) and "users" in tables and not list(tmp_path.iterdir())
+    models = Models(R.RawTables(tables, R.standard_rates(spark), 100), standard_config())
+    pairs = catalog.PLANS["overlapping_pairs_list"](models, "")
+    assert [(r["user_id"], r["sub_a"], r["sub_b"]) for r in pairs.collect()] == [("7", "1", "2")]
+    assert [path.name for path in tmp_path.iterdir()] == ["subscriptions"]
+
+
 def test_order_of_input_does_not_matter(spark):
     """Other partitioning and row order, same tables: nothing depends on arrival order."""
     raw = landed_sample(spark, SF_DIR)
