@@ -558,7 +558,7 @@ PLANS["profile_full_row_dupes"] = lambda m, _: K.full_row_dupes(
 
 
 def _ordered_profile(function: Callable) -> Plan:
-    return lambda m, _: function(m.stg_playback_events, _hot_sessions(m))
+    return lambda m, _: function(m.ordered_events, _hot_sessions(m))
 
 
 PLANS["profile_sequence_sanity"] = _ordered_profile(SEQ.sequence_sanity)

@@ -37,6 +37,10 @@ class Models:
     def stg_playback_events(self) -> DataFrame:
         return staging.stg_playback_events(self.raw["playback_events"])
 
+    @cached_property
+    def ordered_events(self) -> DataFrame:
+        return staging.ordered_events(self.raw["playback_events"])
+
     @cached_property
     def stg_asset_catalog(self) -> DataFrame:
         return staging.stg_asset_catalog(self.raw["asset_catalog"])

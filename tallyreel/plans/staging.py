@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyreel.functions import cleaning as C
@@ -14,18 +14,33 @@ from tallyreel.operators.rates import temporal_rate_join
 SHORTEST_RUNTIME = 1.0  # Fixed value: seconds; anything below is a defect.
 
 
+def _unique_events(raw: DataFrame) -> DataFrame:
+    return dedupe_first(raw, ["event_id"], ["session_id", "event_ts", "position_seconds"])
+
+
+def _in_session() -> dict[str, Column]:
+    """Where an event stands in its session, and what it is."""
+    return {
+        "event_id": C.whole_number(F.col("event_id")),
+        "session_id": F.col("session_id"),
+        "event_type": F.col("event_type"),
+        "event_at_utc": normalize_timestamp(F.col("event_ts")),
+        "position_seconds": C.number(F.col("position_seconds")),
+    }
+
+
 def stg_playback_events(raw: DataFrame) -> DataFrame:
     """One row per event id."""
-    unique = dedupe_first(raw, ["event_id"], ["session_id", "event_ts", "position_seconds"])
-    return unique.select(
-        C.whole_number(F.col("event_id")).alias("event_id"),
-        "session_id",
+    c = {name: column.alias(name) for name, column in _in_session().items()}
+    return _unique_events(raw).select(
+        c["event_id"],
+        c["session_id"],
         C.whole_number(F.col("user_id")).alias("user_id"),
         C.whole_number(F.col("asset_id")).alias("asset_id"),
-        "event_type",
-        normalize_timestamp(F.col("event_ts")).alias("event_at_utc"),
+        c["event_type"],
+        c["event_at_utc"],
         timestamp_source_format(F.col("event_ts")).alias("event_ts_source_format"),
-        C.number(F.col("position_seconds")).alias("position_seconds"),
+        c["position_seconds"],
         "device_type",
         "app_version",
         C.whole_number(F.col("bitrate_kbps"), "int").alias("bitrate_kbps"),
@@ -33,6 +48,17 @@ def stg_playback_events(raw: DataFrame) -> DataFrame:
     )
 
 
+def ordered_events(raw: DataFrame) -> DataFrame:
+    """The columns of ``stg_playback_events`` that the order of events in a session needs, with the same rows and values.
+
+    Raw columns behind the event type only break ties between rows that are alike in everything before, so they are
+    left out before copies are dropped instead of being sorted and moved.
+    """
+    kept = raw.columns[: raw.columns.index("event_type") + 1]
+    placed = [c for c in ("event_ts", "position_seconds") if c not in kept]
+    return _unique_events(raw.select(*kept, *placed)).select(*[c.alias(n) for n, c in _in_session().items()])
+
+
 def stg_asset_catalog(raw: DataFrame) -> DataFrame:
     """One row per asset id, title and type; the id alone is not a key."""
     title, runtime = F.trim("title"), C.number(F.col("duration_seconds"))

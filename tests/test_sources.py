@@ -1,5 +1,7 @@
 """Landing, seeds, sinks and the full build."""
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from tallyreel.quality import declared as D
 from tallyreel.quality.suite import run_declared
 from tallyreel.sources import raw as R
 from tallyreel.sources import workspace
-from tallyreel.sources.sample_feed import landed_sample
+from tallyreel.sources.sample_feed import landed_sample, raw_playback_events
 from tallyreel.sources.sinks import write_mart
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -63,6 +65,52 @@ def test_a_query_lands_only_what_it_reads(spark, tmp_path):
     assert [path.name for path in tmp_path.iterdir()] == ["subscriptions"]
 
 
+def test_ordered_events_move_only_what_the_order_needs(spark, tmp_path):
+    """Copies that tie in session, time and position: the same one stays as with all columns."""
+    base = ("10", "s1", "7", "4", "buffer", "1756684800", "60", "web", "5.0", "800")
+    rows = [
+        base,
+        (*base[:4], "stop", *base[5:]),
+        (*base[:2], "5", "9", "pause", *base[5:]),
+        (*base[:2], None, "1", "play", *base[5:]),
+        (*base[:7], "ios", "5.1", "900"),
+        (*base[:1], "s0", *base[2:]),
+        ("11", *base[1:6], None, *base[7:]),
+        ("12", None, *base[2:5], "2025-09-01T00:01:00Z", *base[6:]),
+        ("12", None, *base[2:5], "2025-09-01T00:01:00Z", *base[6:]),
+        (None, *base[1:]),
+        (None, *base[1:5], None, *base[6:]),
+    ]
+    spark.createDataFrame(rows, R.text_schema(R.RAW_COLUMNS["playback_events"])).write.parquet(str(tmp_path / "events"))
+    tables = {"playback_events": spark.read.parquet(str(tmp_path / "events"))}
+    models = Models(R.RawTables(tables, R.standard_rates(spark), 100), standard_config())
+    narrow = models.ordered_events
+    assert sorted(narrow.collect(), key=str) == sorted(models.stg_playback_events.select(*narrow.columns).collect(), key=str)
+    plan = catalog.PLANS["profile_after_buffer"](models, "")._jdf.queryExecution().executedPlan().toString()
+    assert "event_type" in plan and "bitrate_kbps" not in plan and "device_type" not in plan
+
+
+def test_sample_events_repeat_and_shift(spark, tmp_path):
+    lines = [(10 * i + i % 9, n, 1, 1, 1.0, 1.0) for i in range(60) for n in range(30)] + [(11, 3, 1, 1, 1.0, 1.0)] * 2
+    names = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
+    spark.createDataFrame(lines, ", ".join(f"{n} {'double' if 'price' in n or 'quant' in n else 'long'}" for n in names)).write.parquet(
+        str(tmp_path / "lineitem.parquet")
+    )
+    for table, key in (("customer", "c_custkey"), ("part", "p_partkey")):
+        spark.range(50).withColumnRenamed("id", key).write.parquet(str(tmp_path / f"{table}.parquet"))
+    events = raw_playback_events(spark, str(tmp_path))
+    sizes = Counter(k // 10 * 2 + (k % 10 > 1 + k // 10 % 7) for k, *_ in lines)
+    want = Counter()
+    for s, size in sizes.items():
+        for rn in range(1, size + 1):
+            e = s * 1000 + rn
+            beat = rn not in (1, size) and rn % 11 and rn % 13
+            want.update(str(e + shift) for shift in [0] + [0] * (e % 97 == 0) + [500] * bool(e % 89 == 0 and beat))
+    assert Counter(r["event_id"] for r in events.collect()) == want
+    # Row number and size of a session come from one pass over its rows.
+    assert events._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 1
+
+
 def test_order_of_input_does_not_matter(spark):
     """Other partitioning and row order, same tables: nothing depends on arrival order."""
     raw = landed_sample(spark, SF_DIR)
